@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from curlew.llm import formatting, near_duplicates, survivors, tokenizer
+from curlew.llm import formatting, near_duplicates, packing, splitting, survivors, tokenizer
 from curlew.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,7 +33,15 @@ def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenizer.encode(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p3_found, p3_truth, p5_found, p7_ids)}
+def p8_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
+def p9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return splitting.split_documents(table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p3_found, p3_truth, p5_found, p7_ids, p8_containers, p9_pieces)}
 
 _STOCK = ", ".join("'" + s.replace("'", "''") + "'" for s in survivors.STOCK)
 _STOCK_PATTERN = "^(" + "|".join(survivors.STOCK_PATTERNS) + ")$"
