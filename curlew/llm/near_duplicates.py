@@ -6,7 +6,7 @@
 2. Each class is sketched as a weighted set of (word, occurrence): a word counts by
    its rarity over all documents, which keeps the similarity of true pairs and
    pushes that of unrelated texts of one subject down.
-3. Bands of the sketch join classes that may be alike; 128 one-bit coordinates that
+3. Bands of the sketch join classes that may be alike; 128 two-bit coordinates that
    travel with each band drop pairs that are far apart before any text is fetched.
 4. The agreement of what remains is computed exactly from the words.
 
@@ -32,6 +32,7 @@ from curlew.llm.tokenizer import small_batches
 from curlew.session import materialize
 
 WORDS = regex.compile(r"[\p{L}\p{N}]+")
+BITS = ("b0", "b1", "b2", "b3")
 #: Texts sketched together; it bounds a worker's memory and changes no result.
 SKETCH_BATCH = 500
 
@@ -94,7 +95,7 @@ def word_weights(classes: DataFrame, max_weight: int) -> dict[str, int]:
 
 
 def sketches(classes: DataFrame, weights: dict[str, int], max_weight: int, bands: int, band_rows: int) -> DataFrame:
-    """(id, b0, b1, keys): 128 one-bit coordinates and the band keys of each class."""
+    """(id, b0..b3, keys): 128 two-bit coordinates and the band keys of each class."""
     shared = classes.sparkSession.sparkContext.broadcast(weights)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -118,18 +119,19 @@ def sketches(classes: DataFrame, weights: dict[str, int], max_weight: int, bands
                 elements = np.repeat(S.mix(hashes + occurrence * S._B), times)
                 copy = (np.arange(len(elements)) - np.repeat(np.cumsum(times) - times, times)).astype(np.uint64)
                 made = S.sketch(S.mix(elements + copy * S._C), np.repeat(owner, times), len(split), t)
-                bits, keys = S.one_bit(made), S.band_keys(made, bands, band_rows)
+                bits, keys = S.two_bits(made), S.band_keys(made, bands, band_rows)
                 offsets = pa.array(np.arange(0, keys.size + 1, bands, dtype=np.int32))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(bits[:, 0]), pa.array(bits[:, 1]), pa.ListArray.from_arrays(offsets, pa.array(keys.ravel()))], names=["id", "b0", "b1", "keys"])
+                yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(bits[:, i]) for i in range(4)), pa.ListArray.from_arrays(offsets, pa.array(keys.ravel()))], names=["id", *BITS, "keys"])
 
-    return materialize(classes.select("id", "words").mapInArrow(run, "id long, b0 long, b1 long, keys array<long>"), "sketches")
+    return materialize(classes.select("id", "words").mapInArrow(run, "id long, b0 long, b1 long, b2 long, b3 long, keys array<long>"), "sketches")
 
 
 def candidates(made: DataFrame, far: int) -> DataFrame:
-    """(a, b): ids that share a band and differ in at most ``far`` of 128 one-bit coordinates."""
-    banded = made.select("id", "b0", "b1", F.explode("keys").alias("band"))
-    a, b = (banded.select("band", *[F.col(c).alias(f"{c}_{n}") for c in ("id", "b0", "b1")]) for n in "ab")
-    differ = F.bit_count(F.col("b0_a").bitwiseXOR(F.col("b0_b"))) + F.bit_count(F.col("b1_a").bitwiseXOR(F.col("b1_b")))
+    """(a, b): ids that share a band and differ in at most ``far`` of 128 two-bit coordinates."""
+    banded = made.select("id", *BITS, F.explode("keys").alias("band"))
+    a, b = (banded.select("band", *[F.col(c).alias(f"{c}_{n}") for c in ("id", *BITS)]) for n in "ab")
+    crossed = [F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b")) for c in BITS]
+    differ = sum(F.bit_count(x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(0x5555555555555555))) for x in crossed)
     return a.join(b, "band").where((F.col("id_a") < F.col("id_b")) & (differ <= far)).select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
 
 
@@ -157,7 +159,7 @@ def near_duplicates(
     bands: int = 40,
     band_rows: int = 4,
     max_weight: int = 6,
-    far: int = 48,
+    far: int = 60,
     expand: int = 1000,
 ) -> DataFrame:
     """(key_a, key_b): every pair of records that agree, the smaller key first.
