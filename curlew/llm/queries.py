@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from curlew.llm import formatting, near_duplicates, packing, splitting, survivors, tokenizer
+from curlew.llm import formatting, near_duplicates, packing, splitting, subjects, survivors, tokenizer
 from curlew.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,10 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return formatting.copies(table(spark, sf_dir, "stg_projects"))
 
 
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return subjects.subjects(table(spark, sf_dir, "stg_projects"), table(spark, sf_dir, "isic_project_classifications"), table(spark, sf_dir, "isic_divisions"))[0]
+
+
 def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenizer.encode(table(spark, sf_dir, "documents"))
 
@@ -41,7 +45,7 @@ def p9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return splitting.split_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p3_found, p3_truth, p5_found, p7_ids, p8_containers, p9_pieces)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p3_found, p3_truth, p5_found, p6_found, p7_ids, p8_containers, p9_pieces)}
 
 _STOCK = ", ".join("'" + s.replace("'", "''") + "'" for s in survivors.STOCK)
 _STOCK_PATTERN = "^(" + "|".join(survivors.STOCK_PATTERNS) + ")$"
