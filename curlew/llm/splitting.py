@@ -93,30 +93,48 @@ def depths(cells: np.ndarray, unit_of: np.ndarray, units: int) -> np.ndarray:
     return depth
 
 
-def pieces(text: str, coder: Encoder, limit: int, overlap: int, least_fill: float = 0.5) -> list[tuple[int, int, int, int, str]]:
-    """[(start, end, tokens, tokens repeated from the piece before, kind of the cut at its end)] of a text, in characters."""
-    words = coder.words(text)
-    sizes = [len(coder.known[w]) for w in words]
-    if sum(sizes) <= limit:
-        return [(0, len(text), sum(sizes), 0, "end")]
-    natural = breaks(text)
-    # Pre-tokens that are too large alone come apart in runs of characters that surely fit.
+def apart(words: list[str], sizes: list[int], coder: Encoder, limit: int) -> tuple[list[str], list[int], set[int]]:
+    """Words, their sizes, and which places lie inside a word: words that are too large alone come apart in runs of characters that surely fit."""
     atoms: list[str] = []
     atom_sizes: list[int] = []
     inner: set[int] = set()
+    step = max(1, min(limit, 64) // 4)
     for w, n in zip(words, sizes):
         if n <= limit:
             atoms.append(w), atom_sizes.append(n)
             continue
-        step = max(1, min(limit, 64) // 4)
         for i in range(0, len(w), step):
             if i:
                 inner.add(len(atoms))
             part = w[i : i + step]
-            atoms.append(part), atom_sizes.append(count(part, coder))
-    start_of = np.r_[0, np.cumsum([len(a) for a in atoms])]
-    total = np.r_[0, np.cumsum(atom_sizes)]
+            atoms.append(part), atom_sizes.append(coder.count(part))
+    return atoms, atom_sizes, inner
+
+
+def pieces(text: str, words: list[str], coder: Encoder, limit: int, overlap: int, least_fill: float = 0.5) -> list[tuple[int, int, int, int, str]]:
+    """[(start, end, tokens, tokens repeated from the piece before, kind of the cut at its end)] of a text with known pre-tokens, in characters."""
+    sizes = coder.sizes(words)
+    whole = sum(sizes)
+    if whole <= limit:
+        return [(0, len(text), whole, 0, "end")]
+    natural = breaks(text)
+    atoms, atom_sizes, inner = words, sizes, set()
+    if max(sizes) > limit:
+        atoms, atom_sizes, inner = apart(words, sizes, coder, limit)
     n = len(atoms)
+    start_of, total = np.zeros(n + 1, np.int64), np.zeros(n + 1, np.int64)
+    np.cumsum(np.fromiter(map(len, atoms), np.int64, n), out=start_of[1:])
+    np.cumsum(np.fromiter(atom_sizes, np.int64, n), out=total[1:])
+
+    def tokens_of(begin: int, end: int) -> int:
+        """Tokens of a piece as a text of its own: only blanks at its end and words taken apart can differ from the sum."""
+        if inner:
+            return coder.count(text[start_of[begin] : start_of[end]])
+        solid = end
+        while solid > begin and atoms[solid - 1].isspace():
+            solid -= 1
+        return int(total[solid] - total[begin]) + (coder.count(text[start_of[solid] : start_of[end]]) if solid < end else 0)
+
     positions = np.array(sorted(natural), np.int64)
     at = np.searchsorted(start_of, positions)
     kind = np.ones(n + 1, np.int64)
@@ -135,7 +153,7 @@ def pieces(text: str, coder: Encoder, limit: int, overlap: int, least_fill: floa
     while True:
         last = int(np.searchsorted(total, total[begin] + limit, side="right")) - 1
         if last >= n:
-            tokens = count(text[start_of[begin] :], coder)
+            tokens = tokens_of(begin, n)
             if tokens <= limit:
                 out.append((int(start_of[begin]), len(text), tokens, int(total[done] - total[begin]), "end"))
                 return out
@@ -146,10 +164,10 @@ def pieces(text: str, coder: Encoder, limit: int, overlap: int, least_fill: floa
                 continue
             last = begin + 1
         end = choose(kind, depth, total, begin, done, last, limit, least_fill)
-        tokens = count(text[start_of[begin] : start_of[end]], coder)
+        tokens = tokens_of(begin, end)
         while tokens > limit and end - 1 > done:  # the border changed the count
             end = choose(kind, depth, total, begin, done, end - 1, limit, least_fill)
-            tokens = count(text[start_of[begin] : start_of[end]], coder)
+            tokens = tokens_of(begin, end)
         if tokens > limit and begin < done:
             begin = done
             continue
@@ -176,11 +194,6 @@ def choose(kind: np.ndarray, depth: np.ndarray, total: np.ndarray, begin: int, d
     return int(between[-1]) if len(between) else last
 
 
-def count(text: str, coder: Encoder) -> int:
-    words = coder.words(text)
-    return sum(len(coder.known[w]) for w in words)
-
-
 def split_documents(df: DataFrame, limit: int = 512, overlap: int = 64, text: str = "text", key: str = "doc_id", path: str | None = None, with_text: bool = True) -> DataFrame:
     """(key, piece_no, char_start, char_end, n_tokens, overlap_tokens, cut, piece): the pieces of each text in order.
 
@@ -202,10 +215,9 @@ def split_documents(df: DataFrame, limit: int = 512, overlap: int = 64, text: st
         coder = encoder(broadcast)
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            coder.learn(texts)
             rows, owner, parts = [], [], []
-            for i, body in enumerate(texts):
-                for no, piece in enumerate(pieces(body, coder, limit, overlap) if body else []):
+            for i, (body, words) in enumerate(zip(texts, coder.learn(texts))):
+                for no, piece in enumerate(pieces(body, words, coder, limit, overlap) if body else []):
                     owner.append(i), rows.append((no, *piece))
                     if with_text:
                         parts.append(body[piece[0] : piece[1]])

@@ -141,6 +141,7 @@ class Encoder:
     def __init__(self, ranks: dict[bytes, int], pattern: str = PATTERN):
         self.vocabulary, self.split = Vocabulary(ranks), regex.compile(pattern).findall
         self.known: dict[str, tuple[int, ...]] = {}
+        self.long: list[str] = []
         self.merged = 0
 
     def propose(self, word: bytes) -> list[int]:
@@ -172,24 +173,32 @@ class Encoder:
         self.merged += int(wrong.sum())
         return [tuple(ranks[p] for p in merge(w, ranks)) if bad else tuple(g) for w, g, bad in zip(raw, guesses, wrong)]
 
-    def words(self, text: str) -> list[str]:
-        """The pre-tokens of a text, all of them known afterwards."""
-        return self.learn([text])[0]
+    def learn(self, texts: list[str | None], may_forget: bool = True) -> list[list[str]]:
+        """The pre-tokens of each text (null and empty texts have none), all of them known afterwards.
 
-    def learn(self, texts: list[str | None]) -> list[list[str]]:
-        """The pre-tokens of each text (null and empty texts have none), all of them known afterwards."""
+        Words of an earlier call may be forgotten before, unless ``may_forget`` is off.
+        """
         split = [self.split(t) if t else [] for t in texts]
-        if len(self.known) > REMEMBERED:
+        if may_forget and len(self.known) > REMEMBERED:
             self.known = {}
         new = list(set(chain.from_iterable(split)).difference(self.known))
         if new:
             self.known.update(zip(new, self.encode_words(new)))
-            self.long = [w for w in new if len(w) > LONG_WORD]
+            self.long += [w for w in new if len(w) > LONG_WORD]
         return split
 
+    def sizes(self, words: list[str]) -> list[int]:
+        """The number of tokens of each known word."""
+        return list(map(len, map(self.known.__getitem__, words)))
+
+    def count(self, text: str) -> int:
+        """The number of tokens of a text; forgets nothing."""
+        return sum(self.sizes(self.learn([text], may_forget=False)[0]))
+
     def forget_long(self) -> None:
-        for w in self.__dict__.pop("long", ()):
+        for w in self.long:
             self.known.pop(w, None)
+        self.long = []
 
     def encode_batch(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another, and the number of ids of each text."""
