@@ -43,28 +43,32 @@ def parsed(raw: Column) -> Column:
     return F.when(raw.rlike(r"^\s*\{"), F.from_json(raw, "map<string,variant>"))
 
 
-def ingest(rows: DataFrame, raw: str, target: T.StructType, aliases: dict[str, list[str]] | None = None) -> DataFrame:
+def ingest(rows: DataFrame, raw: str, target: T.StructType, aliases: dict[str, list[str]] | None = None, trace: bool = False) -> DataFrame:
     """``rows`` with a column for each field of ``target`` and ``_rescued``.
 
     Each target field takes the first present name of ``[field, *aliases[field]]``
     whose value casts to the field's type (strings to text, so that ``3`` and
     ``"3"`` agree). Everything else is kept in ``_rescued`` as a JSON object.
-    Columns of ``rows`` with a target's name give way to the typed column.
+    Columns of ``rows`` with a target's name give way to the typed column. With
+    ``trace``, ``_fields`` lists the delivered field, JSON type, text and target of
+    each value, the target being null for what is rescued.
     """
     aliases = aliases or {}
-    kept = [c for c in rows.columns if c not in set(target.fieldNames()) | {"_rescued"}]
+    kept = [c for c in rows.columns if c not in set(target.fieldNames()) | {"_rescued", "_fields"}]
     df = rows.select(*kept, F.col(raw).alias("_raw")).withColumn("_m", parsed(F.col("_raw")))
-
-    taken, typed = [], []
+    value = lambda name: F.try_element_at("_m", name)
+    taken = []
     for field in target:
         names = [field.name, *aliases.get(field.name, [])]
-        hits = [F.try_variant_get(F.try_element_at("_m", F.lit(n)), "$", field.dataType.simpleString()) for n in names]
-        typed.append(F.coalesce(*hits).alias(field.name))
+        hits = [F.try_variant_get(value(F.lit(n)), "$", field.dataType.simpleString()) for n in names]
+        df = df.withColumn(f"_t_{field.name}", F.coalesce(*hits))
         chosen = F.coalesce(*[F.when(h.isNotNull(), F.lit(n)) for h, n in zip(hits, names)])
-        taken.append(chosen)
-    rest = F.map_filter("_m", lambda k, v: ~F.array_contains(F.array_compact(F.array(*taken)), k))
+        taken.append(F.when(chosen.isNotNull(), F.struct(chosen.alias("field"), json_type(value(chosen)).alias("type"), F.col(f"_t_{field.name}").cast("string").alias("text"), F.lit(field.name).alias("target"))))
+    df = df.withColumn("_taken", F.array_compact(F.array(*taken)))
+    rest = F.map_filter("_m", lambda k, v: ~F.exists("_taken", lambda x: x["field"] == k))
     rescued = F.when(F.col("_m").isNull(), F.when(F.col("_raw").isNotNull(), F.to_json(F.struct(F.col("_raw").alias("_malformed"))))).when(F.size(rest) > 0, F.to_json(rest))
-    return df.select(*kept, *typed, rescued.alias("_rescued"))
+    fields = F.concat("_taken", F.transform(F.map_entries(rest), lambda e: F.struct(e["key"].alias("field"), json_type(e["value"]).alias("type"), F.try_variant_get(e["value"], "$", "string").alias("text"), F.lit(None).cast("string").alias("target"))))
+    return df.select(*kept, *[F.col(f"_t_{f.name}").alias(f.name) for f in target], *([fields.alias("_fields")] if trace else []), rescued.alias("_rescued"))
 
 
 def promote(ingested: DataFrame, field: T.StructField, names: list[str] | None = None) -> DataFrame:
@@ -72,19 +76,51 @@ def promote(ingested: DataFrame, field: T.StructField, names: list[str] | None =
     return ingest(ingested.withColumnRenamed("_rescued", "_rescued_before"), "_rescued_before", T.StructType([field]), {field.name: names or []}).drop("_rescued_before")
 
 
+def delivered_fields(rows: DataFrame, raw: str, staged: tuple[str, ...], delivery: str) -> DataFrame:
+    """(_d, _field, _type, _same): each field of each row after ingestion, with the staged columns that have its value.
+
+    The target schema is the staged columns. A field that it takes can feed only its
+    own column; a rescued field may feed any, which is what approves it for promotion.
+    """
+    target = T.StructType([T.StructField(c, T.StringType()) for c in staged])
+    source = rows.where(F.col(delivery).isNotNull()).select(F.col(delivery).alias("_d"), F.struct(*[F.col(c).cast("string").alias(c) for c in staged]).alias("_s"), raw)
+    done = ingest(source, raw, target, trace=True)
+    # explode_outer, because Spark would write a filter for explode and evaluate the whole ingestion twice.
+    each = done.select("_d", "_s", F.explode_outer("_fields").alias("_f"))
+    fed = F.filter(F.array(*[F.when(F.col("_s." + c) == F.col("_f.text"), F.lit(c)) for c in staged]), lambda c: c.isNotNull())
+    may = F.when(F.col("_f.target").isNotNull(), F.array_intersect(fed, F.array("_f.target"))).when(F.col("_f.type").isin("string", "integer", "decimal", "boolean"), fed)
+    return each.select("_d", F.col("_f.field").alias("_field"), F.col("_f.type").alias("_type"), may.alias("_same")).where(F.col("_field").isNotNull())
+
+
+def approved(profile: DataFrame) -> dict[str, list[str]]:
+    """The delivered names that feed each staged column in some delivery: the fields approved for promotion.
+
+    They are as many as field names of all deliveries, which bounds what is collected.
+    """
+    pairs = profile.where(F.col("feeds").isNotNull() & (F.col("feeds") != F.col("field"))).select("feeds", "field").distinct().collect()
+    names: dict[str, list[str]] = {}
+    for feeds, field in sorted(tuple(p) for p in pairs):
+        names.setdefault(feeds, []).append(field)
+    return names
+
+
+def consistent(rows: DataFrame, raw: str, target: T.StructType, key: tuple[str, ...], delivery: str = "source_database_id") -> DataFrame:
+    """All rows in one shape: (key..., delivery, target fields, ``_rescued``).
+
+    Rows are ingested under the target's own names, the rescued fields that feed a
+    staged column are approved, and their rescued values are replayed into it.
+    """
+    names = approved(field_profile(rows, raw, tuple(target.fieldNames()), delivery))
+    return ingest(rows.select(*key, delivery, raw), raw, target, names).drop(raw)
+
+
 def field_profile(rows: DataFrame, raw: str, staged: tuple[str, ...], delivery: str = "source_database_id") -> DataFrame:
     """(delivery, field, types, feeds): each delivered field, its JSON types, and the staged column with the same content.
 
     A field feeds the staged column that repeats at least nine tenths of its
     values; the best wins, then the first by name.
     """
-    same = F.filter(F.array(*[F.when(F.col("_s." + c) == F.col("_text"), F.lit(c)) for c in staged]), lambda c: c.isNotNull())
-    each = (
-        rows.select(F.col(delivery).alias("_d"), F.struct(*[F.col(c).cast("string").alias(c) for c in staged]).alias("_s"), F.explode(parsed(F.col(raw))).alias("_field", "_v"))
-        .where(F.col("_d").isNotNull())
-        .select("_d", "_s", "_field", json_type(F.col("_v")).alias("_type"), F.try_variant_get("_v", "$", "string").alias("_text"))
-        .select("_d", "_field", "_type", F.when(F.col("_type").isin("string", "integer", "decimal", "boolean"), same).alias("_same"))
-    )
+    each = delivered_fields(rows, raw, staged, delivery)
     counts = each.groupBy("_d", "_field", "_type", "_same").agg(F.count(F.lit(1)).alias("_n"))
     # From here on the rows are as many as fields of deliveries.
     by_field = Window.partitionBy("_d", "_field")

@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from curlew.functions import text as X
 from curlew.functions import urls as U
 from curlew.operators import classify, dedup, drift, gates, staging
-from curlew.operators.schema_drift import drift_report
+from curlew.operators.schema_drift import FILE_FIELDS, PROJECT_FIELDS, consistent, drift_report
 from curlew.operators.timestamps import normalise_timestamps
 from curlew.oracles import LEGAL, ORACLES, RESEARCH
 from curlew.plans import delivery
@@ -43,6 +44,18 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drift_report(*_tables(spark, sf_dir, "source_databases", "stg_projects", "stg_files"))
 
 
+@query
+def p4_projects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = T.StructType([T.StructField(f, T.StringType()) for f in PROJECT_FIELDS])
+    return consistent(table(spark, sf_dir, "stg_projects"), "raw_project_json", target, ("project_uid",))
+
+
+@query
+def p4_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = T.StructType([T.StructField(f, T.LongType() if f == "file_size_bytes" else T.StringType()) for f in FILE_FIELDS])
+    return consistent(table(spark, sf_dir, "stg_files"), "raw_file_json", target, ("file_uid",))
+
+
 # Staging: projections, references, audits.
 
 
