@@ -40,7 +40,7 @@ def safe_file_name(c: str | Column) -> Column:
 
 def locations(c: str | Column) -> Column:
     """The parts of a list separated by semicolons, blanks dropped."""
-    return F.filter(F.transform(F.split(col(c), ";"), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(col(c), ";"), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def provider(c: str | Column) -> Column:
