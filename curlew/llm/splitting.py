@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from curlew.llm.tokenizer import Encoder, encoder, share_vocabulary
+from curlew.llm.tokenizer import Encoder, encoder, share_vocabulary, slices
 
 # Natural breaks: the position after each match begins a new unit. Later kinds win at the same position.
 SENTENCE = regex.compile(r"(?:[.!?…]+[\"'”’»)\]]*(?=\s)|[。！？]+)")
@@ -213,7 +214,7 @@ def split_documents(df: DataFrame, limit: int = 512, overlap: int = 64, text: st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(broadcast)
-        for batch in batches:
+        for batch in chain.from_iterable(slices(b, 1) for b in batches):
             texts = batch.column(1).to_pylist()
             rows, owner, parts = [], [], []
             for i, (body, words) in enumerate(zip(texts, coder.learn(texts))):

@@ -21,6 +21,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -31,8 +32,8 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 REMEMBERED = 400_000
 #: Longer words (bytes) aren't remembered.
 LONG_WORD = 200
-#: Bytes of texts in an Arrow batch.
-BATCH_BYTES = 16 << 20
+#: Bytes of an Arrow batch, and of the texts that a worker handles together.
+BATCH_BYTES, PART_BYTES = 64 << 20, 4 << 20
 NO_LIMIT = np.iinfo(np.int64).max
 
 
@@ -221,12 +222,23 @@ def encoder(broadcast) -> Encoder:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Bound Arrow batches by bytes too, so that a run of very long texts doesn't fill a worker."""
+    """Bound Arrow batches by bytes where that bound, which Spark sets by default, was lifted."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
     if spark.conf.get(key) in ("-1", str((1 << 31) - 1), str((1 << 63) - 1)):
         spark.conf.set(key, str(BATCH_BYTES))
 
 
+def slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """A batch in parts of about ``PART_BYTES`` of text, so that a worker holds few words at once; a longer text is a part of its own."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
+    start = 0
+    while start < batch.num_rows:
+        done = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, done + PART_BYTES, side="right")))
+        yield batch.slice(start, stop - start)
+        start = stop
+
+
 def share_vocabulary(spark: SparkSession, path: str | None = None):
     """Broadcast the ranks of a tokenizer file (fixed size)."""
     small_batches(spark)
@@ -250,7 +262,7 @@ def encode(df: DataFrame, text: str = "text", ids: str = "ids", path: str | None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(broadcast)
-        for batch in batches:
+        for batch in chain.from_iterable(slices(b, len(keep)) for b in batches):
             flat, sizes = coder.encode_batch(batch.column(len(keep)).to_pylist())
             offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int32()))], names=[*keep, ids])
@@ -265,7 +277,7 @@ def count_tokens(df: DataFrame, text: str = "text", path: str | None = None, kee
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(broadcast)
-        for batch in batches:
+        for batch in chain.from_iterable(slices(b, len(keep)) for b in batches):
             _, sizes = coder.encode_batch(batch.column(len(keep)).to_pylist())
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(sizes)], names=[*keep, name])
 
