@@ -137,15 +137,16 @@ def staged(table: str, raw: str, key: str, fields: dict[str, list[str]], aliases
 #: Terms that occur in the driver's texts; the stock lists of the classifier do not.
 LEGAL = ("court", "legal", "notary", "tribunal", "statute", "audit", "jury")
 RESEARCH = ("laboratory", "experiment", "research", "hypothesis", "microscope", "preprint")
-LEDGER = """ledger AS (
-  SELECT ['DANS', 'icpsr', 'Zenodo', 'other'][(p.source_database_id % 4 + 1)::INT] AS repository, p.project_url AS dataset_url, f.file_url AS qda_url, p.title, p.description, p.doi, p.download_date, f.local_path, f.file_name, f.file_type, f.status
+REPOSITORIES = ", ".join(f"('{n}', {i}, '{u}')" for n, (i, u) in V.LEDGER_REPOSITORIES.items())
+LEDGER = f"""repos(name, number, link) AS (VALUES {REPOSITORIES}),
+ledger AS (
+  SELECT ['dans', 'icpsr', 'zenodo', 'other'][(p.source_database_id % 4 + 1)::INT] AS folder, p.project_url AS dataset_url, coalesce(p.project_url, f.file_url) AS url, p.title, p.description, p.doi, p.download_date, f.local_path, f.file_name, f.file_type, f.status
   FROM stg_files f JOIN stg_projects p USING (project_uid)),
 migrated AS (
-  SELECT DISTINCT CASE lower(repository) WHEN 'dans' THEN 5 WHEN 'icpsr' THEN 15 WHEN 'zenodo' THEN 99 ELSE 0 END AS repository_id,
-    CASE lower(repository) WHEN 'dans' THEN 'https://dans.knaw.nl/en/' WHEN 'icpsr' THEN 'https://icpsr.umich.edu/' WHEN 'zenodo' THEN 'https://zenodo.org/' ELSE '' END AS repository_url,
-    coalesce(dataset_url, qda_url) AS project_url, coalesce(title, file_name, dataset_url, qda_url) AS title, coalesce(description, '') AS description,
-    CASE WHEN doi IS NULL OR trim(doi) = '' THEN NULL WHEN lower(doi) LIKE 'http%' THEN doi ELSE 'https://doi.org/' || doi END AS doi, download_date, lower(repository) AS download_repository_folder,
-    replace(local_path, 'data/raw/' || lower(repository) || '/', '') AS download_project_folder, 'API-CALL' AS download_method FROM ledger)"""
+  SELECT DISTINCT coalesce(r.number, 0) AS repository_id, coalesce(r.link, '') AS repository_url, l.url AS project_url, coalesce(l.title, l.file_name, l.url) AS title, coalesce(l.description, '') AS description,
+    CASE WHEN NOT regexp_matches(l.doi, '^ *$') THEN regexp_replace(l.doi, '(?i)^([^h]|h[^t])', 'https://doi.org/\\1') END AS doi, l.download_date, l.folder AS download_repository_folder,
+    replace(l.local_path, concat('data/raw/', l.folder, '/'), '') AS download_project_folder, 'API-CALL' AS download_method
+  FROM ledger l LEFT JOIN repos r ON r.name = l.folder)"""
 PROVIDER = lambda c: f"CASE WHEN contains(lower({c}), 'faubox.rrze.uni-erlangen.de') THEN 'FAUBOX' WHEN contains(lower({c}), 'drive.google.com') THEN 'GOOGLE_DRIVE' WHEN contains(lower({c}), 'github.com') OR contains(lower({c}), 'raw.githubusercontent.com') THEN 'GITHUB' WHEN starts_with(lower({c}), 'https://') OR starts_with(lower({c}), 'http://') THEN 'WEB' WHEN contains({c}, '/') OR contains({c}, chr(92)) THEN 'LOCAL_OR_RELATIVE_PATH' ELSE 'UNKNOWN' END"
 ENDINGS = (".zip", ".pdf", ".txt", ".rtf", ".doc", ".docx", ".csv", ".xlsx", ".sav", ".dta", ".rdata", ".rds", ".qdpx", ".qdp", ".nvpx", ".nvp", ".atlproj", ".mx", ".mx20", ".mx22")
 
@@ -233,8 +234,10 @@ o AS (SELECT concat_ws('|', coalesce(repository_id, ''), coalesce(project_type,
 e AS (SELECT concat_ws('|', coalesce(repository_id, ''), coalesce(upstream_project_type, '')) AS key, count(*) AS value FROM stg_projects GROUP BY 1)
 SELECT 'project_types:' || key AS name, e.value IS NOT DISTINCT FROM o.value AS passed, 'error' AS severity, e.value::VARCHAR AS expected, o.value::VARCHAR AS observed FROM o FULL JOIN e USING (key)""",
     "l_migrated_projects": f"WITH {LEDGER} SELECT repository_id, repository_url, download_repository_folder, download_method, count(*) AS projects, count(DISTINCT doi) AS dois, count(DISTINCT download_project_folder) AS folders FROM migrated GROUP BY ALL",
-    "l_migrated_files": f"""WITH {LEDGER}
-SELECT CASE WHEN file_type IS NOT NULL AND trim(file_type) <> '' THEN lower(file_type) WHEN instr(file_name, '.') > 0 THEN lower(substr(file_name, instr(file_name, '.') + 1)) ELSE 'unknown' END AS file_type,
-  CASE WHEN upper(coalesce(status, '')) IN ('OK', 'SUCCEEDED') THEN 'SUCCEEDED' WHEN lower(coalesce(status, '')) LIKE '%login%' THEN 'FAILED_LOGIN_REQUIRED' WHEN lower(coalesce(status, '')) LIKE '%large%' THEN 'FAILED_TOO_LARGE' ELSE 'FAILED_SERVER_UNRESPONSIVE' END AS status, count(*) AS files
-FROM ledger l JOIN migrated m ON m.project_url = l.dataset_url WHERE regexp_matches(l.dataset_url, '^https?://.+/') AND m.project_url IN (SELECT dataset_url FROM ledger) GROUP BY 1, 2""",
+    "l_migrated_files": f"""WITH {LEDGER},
+told AS (
+  SELECT coalesce(lower(nullif(regexp_replace(l.file_type, '^ +$', ''), '')), nullif(lower(regexp_extract(l.file_name, '(?s)^[^.]*\\.(.*)$', 1)), ''), 'unknown') AS file_type,
+    CASE WHEN regexp_matches(l.status, '(?i)^(ok|succeeded)$') THEN 'SUCCEEDED' WHEN regexp_matches(l.status, '(?i)login') THEN 'FAILED_LOGIN_REQUIRED' WHEN regexp_matches(l.status, '(?i)large') THEN 'FAILED_TOO_LARGE' ELSE 'FAILED_SERVER_UNRESPONSIVE' END AS status
+  FROM ledger l JOIN migrated m ON m.project_url = l.url WHERE regexp_matches(l.dataset_url, '^https?://.+/'))
+SELECT file_type, status, count(*) AS files FROM told GROUP BY ALL""",
 }

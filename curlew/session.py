@@ -7,6 +7,8 @@ local session may fall back to a folder of its own.
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -38,7 +40,9 @@ def shared_dir(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = "file://" + tempfile.mkdtemp(prefix="curlew-")
+    own = tempfile.mkdtemp(prefix="curlew-")
+    atexit.register(shutil.rmtree, own, ignore_errors=True)
+    folder = f"file://{own}"
     spark.conf.set("spark.checkpoint.dir", folder)
     spark.sparkContext.setCheckpointDir(folder)
     return folder
@@ -56,6 +60,12 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Delete the intermediate tables of all sessions that share the folder; call it when no result that reads them is needed any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/curlew")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table by name."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
