@@ -29,6 +29,10 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return formatting.copies(table(spark, sf_dir, "stg_projects"))
 
 
+def p5_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return formatting.collapse(table(spark, sf_dir, "stg_projects")).select("group_key", "copies").distinct()
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return subjects.subjects(table(spark, sf_dir, "stg_projects"), table(spark, sf_dir, "isic_project_classifications"), table(spark, sf_dir, "isic_divisions"))[0]
 
@@ -45,11 +49,27 @@ def p9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return splitting.split_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p3_found, p3_truth, p5_found, p6_found, p7_ids, p8_containers, p9_pieces)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p3_found, p3_truth, p5_found, p5_copies, p6_found, p7_ids, p8_containers, p9_pieces)}
 
 _STOCK = ", ".join("'" + s.replace("'", "''") + "'" for s in survivors.STOCK)
 _STOCK_PATTERN = "^(" + "|".join(survivors.STOCK_PATTERNS) + ")$"
 
+_KEYED = r"""
+WITH marked AS (
+  SELECT project_uid, doi, title, regexp_matches(doi, '10\.\d{4,9}/') AS d, regexp_matches(title, '10\.\d{4,9}/') AS t
+  FROM stg_projects WHERE doi IS NOT NULL AND title IS NOT NULL),
+cut AS (
+  SELECT project_uid,
+    CASE WHEN d THEN regexp_replace(doi, '(?s)^.*?(10\.\d{4,9}/)', '\1') ELSE doi END AS a,
+    CASE WHEN NOT d AND t THEN regexp_replace(title, '(?s)^.*?(10\.\d{4,9}/)', '\1') ELSE title END AS b
+  FROM marked),
+bare AS (
+  SELECT project_uid,
+    regexp_replace(replace(lower(a), 'ß', 'ss'), '[^\p{L}\p{M}\p{N}]+', '', 'g') AS a,
+    regexp_replace(replace(lower(b), 'ß', 'ss'), '[^\p{L}\p{M}\p{N}]+', '', 'g') AS b
+  FROM cut),
+keyed AS (SELECT project_uid, least(a, b) AS lo, greatest(a, b) AS hi FROM bare WHERE a <> '' AND b <> '')"""
+
 ORACLES: dict[str, str] = {
     "p3_found": rf"""
 WITH scored AS (
@@ -71,22 +91,9 @@ ranked AS (
   UNION ALL
   SELECT cluster_id, 'project_url', project_uid, row_number() OVER (PARTITION BY cluster_id ORDER BY score DESC, project_uid) FROM known WHERE score IS NOT NULL AND linked)
 SELECT cluster_id, field_name, project_uid FROM ranked WHERE r = 1""",
-    "p5_found": r"""
-WITH marked AS (
-  SELECT project_uid, doi, title, regexp_matches(doi, '10\.\d{4,9}/') AS d, regexp_matches(title, '10\.\d{4,9}/') AS t
-  FROM stg_projects WHERE doi IS NOT NULL AND title IS NOT NULL),
-cut AS (
-  SELECT project_uid,
-    CASE WHEN d THEN regexp_replace(doi, '(?s)^.*?(10\.\d{4,9}/)', '\1') ELSE doi END AS a,
-    CASE WHEN NOT d AND t THEN regexp_replace(title, '(?s)^.*?(10\.\d{4,9}/)', '\1') ELSE title END AS b
-  FROM marked),
-bare AS (
-  SELECT project_uid,
-    regexp_replace(replace(lower(a), 'ß', 'ss'), '[^\p{L}\p{M}\p{N}]+', '', 'g') AS a,
-    regexp_replace(replace(lower(b), 'ß', 'ss'), '[^\p{L}\p{M}\p{N}]+', '', 'g') AS b
-  FROM cut),
-keyed AS (SELECT project_uid, least(a, b) AS lo, greatest(a, b) AS hi FROM bare WHERE a <> '' AND b <> ''),
+    "p5_found": _KEYED + """,
 groups AS (SELECT lo, hi, min(project_uid) AS project_uid_a FROM keyed GROUP BY 1, 2)
 SELECT DISTINCT g.project_uid_a, k.project_uid AS project_uid_b
 FROM groups g JOIN keyed k USING (lo, hi) WHERE k.project_uid <> g.project_uid_a""",
+    "p5_copies": _KEYED + " SELECT min(project_uid) AS group_key, count(DISTINCT project_uid) AS copies FROM keyed GROUP BY lo, hi",
 }
