@@ -54,7 +54,7 @@ CASCADE = (
     ("t", rf"^(\d{{4}})[-/.](\d{{1,2}})[-/.](\d{{1,2}})(?:(?:[Tt]|\s+){_CLOCK}{_AMPM}{_ZONE})?$", "t|$1|$2|$3|$4|$5|$6|$7|$8|$9"),
     ("t", rf"^(\d{{1,2}})\.(\d{{1,2}})\.(\d{{4}})(?:,?(?:[Tt]|\s+){_CLOCK}{_AMPM}{_ZONE})?$", "t|$3|$2|$1|$4|$5|$6|$7|$8|$9"),
     ("n", rf"^(\d{{1,2}})[-/](\d{{1,2}})[-/](\d{{4}})(?:,?(?:[Tt]|\s+){_CLOCK}{_AMPM}{_ZONE})?$", "n|$3|$2|$1|$4|$5|$6|$7|$8|$9"),
-    ("t", rf"(?U)^(?:{_NAME},?\s+)?(\d{{1,2}})(?:\.\s*|\s+|-){_NAME}(?:\s+|-)(\d{{4}})(?:,?\s+{_CLOCK}{_AMPM}{_ZONE})?$", "t|$4|$3|$2|$5|$6|$7|$8|$9|$10"),
+    ("t", rf"(?U)^(?:[^\W\d_]{{3,10}}\.?,?\s+)?(\d{{1,2}})(?:\.\s*|\s+|-){_NAME}(?:\s+|-)(\d{{4}})(?:,?\s+{_CLOCK}{_AMPM}{_ZONE})?$", "t|$3|$2|$1|$4|$5|$6|$7|$8|$9"),
     ("t", rf"(?U)^{_NAME}\s+(\d{{1,2}}),?\s+(\d{{4}})(?:,?\s+{_CLOCK}{_AMPM}{_ZONE})?$", "t|$3|$1|$2|$4|$5|$6|$7|$8|$9"),
 )
 

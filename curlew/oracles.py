@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from curlew import vocab as V
+from curlew.operators.schema_drift import FILE_FIELDS, PROJECT_FIELDS
 from curlew.operators.staging import FILE_ALIASES, PROJECT_ALIASES
+from curlew.operators.timestamps import CASCADE, MONTHS, SUMMER_ZONE
 
 
 def _list(values) -> str:
@@ -150,7 +152,80 @@ migrated AS (
 PROVIDER = lambda c: f"CASE WHEN contains(lower({c}), 'faubox.rrze.uni-erlangen.de') THEN 'FAUBOX' WHEN contains(lower({c}), 'drive.google.com') THEN 'GOOGLE_DRIVE' WHEN contains(lower({c}), 'github.com') OR contains(lower({c}), 'raw.githubusercontent.com') THEN 'GITHUB' WHEN starts_with(lower({c}), 'https://') OR starts_with(lower({c}), 'http://') THEN 'WEB' WHEN contains({c}, '/') OR contains({c}, chr(92)) THEN 'LOCAL_OR_RELATIVE_PATH' ELSE 'UNKNOWN' END"
 ENDINGS = (".zip", ".pdf", ".txt", ".rtf", ".doc", ".docx", ".csv", ".xlsx", ".sav", ".dta", ".rdata", ".rds", ".qdpx", ".qdp", ".nvpx", ".nvp", ".atlproj", ".mx", ".mx20", ".mx22")
 
+def json_fields(table: str, raw: str, entity: str, staged: tuple[str, ...]) -> str:
+    """Profile of an entity's delivered fields: (entity, d, f, types, feeds)."""
+    same = ", ".join(f"sum((t.typed AND t.v IS NOT DISTINCT FROM t.{c} AND (t.f = '{c}' OR t.f NOT IN ({_list(staged)})))::INT) AS hit_{c}" for c in staged)
+    best = ", ".join(f"{{'n': -coalesce(hit_{c}, 0), 'c': '{c}'}}" for c in sorted(staged))
+    return f"""{entity}_rows AS (
+  SELECT source_database_id AS d, {raw} AS j, {', '.join(f'{c}::VARCHAR AS {c}' for c in staged)} FROM {table} WHERE source_database_id IS NOT NULL AND json_valid({raw}) AND json_type({raw}) = 'OBJECT'),
+{entity}_each AS (SELECT *, unnest(json_keys(j)) AS f FROM {entity}_rows),
+{entity}_typed AS (
+  SELECT *, json_extract_string(j, '$."' || f || '"') AS v, CASE json_type(j, '$."' || f || '"') WHEN 'VARCHAR' THEN 'string' WHEN 'UBIGINT' THEN 'integer' WHEN 'BIGINT' THEN 'integer' WHEN 'DOUBLE' THEN 'decimal' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'ARRAY' THEN 'array' WHEN 'OBJECT' THEN 'object' END AS k,
+    k IN ('string', 'integer', 'decimal', 'boolean') AS typed FROM {entity}_each),
+{entity}_sums AS (SELECT d, f, list_sort(list(DISTINCT k) FILTER (k IS NOT NULL)) AS types, count(k) AS filled, {same} FROM {entity}_typed t GROUP BY d, f),
+{entity}_fields AS (
+  SELECT '{entity}' AS entity, d, f, CASE WHEN list_contains(types, 'decimal') THEN list_filter(types, lambda x: x <> 'integer') ELSE types END AS types,
+    list_sort(list_filter([{best}], lambda x: -x.n >= 0.9 * filled AND x.n < 0))[1].c AS feeds FROM {entity}_sums)"""
+
+
+def timestamps(fields: tuple[str, ...] = ("upload_date", "download_date")) -> str:
+    """The cascade's patterns in RE2's spelling; zones and clock changes by the database's own calendar."""
+
+    def part(pattern: str, place: str) -> str:
+        return f"regexp_extract(v, '{pattern}', {place[1:]})" if place.startswith("$") else f"'{place}'"
+
+    names = ("kind", "y", "mo", "d", "h", "mi", "s", "us", "half", "zone")
+    cases = ""
+    for _, pattern, replacement in CASCADE:
+        re2 = pattern.replace("(?U)", "").replace(r"[^\W\d_]", r"\p{L}").replace("'", "''")
+        cases += f" WHEN regexp_matches(v, '{re2}') THEN {{{', '.join(f'{chr(39)}{n}{chr(39)}: {part(re2, p)}' for n, p in zip(names, replacement.split('|')))}}}"
+    month = "coalesce(try_cast(mo AS INT), CASE " + " ".join(f"WHEN lower(mo) IN ({_list(forms)}) THEN {i + 1}" for i, forms in enumerate(MONTHS)) + " END)"
+    number = lambda c: f"coalesce(try_cast(nullif({c}, '') AS BIGINT), 0)"
+    values = " UNION ALL ".join(f"SELECT project_uid, source_database_id, '{f}' AS field_name, regexp_replace({f}, '^[\\s\\p{{Z}}\\x{{200b}}\\x{{feff}}]+|[\\s\\p{{Z}}\\x{{200b}}\\x{{feff}}]+$', '', 'g') AS v FROM stg_projects WHERE {f} IS NOT NULL AND project_uid IS NOT NULL" for f in fields)
+    return f"""
+WITH vals AS ({values}),
+cut AS (SELECT * EXCLUDE (x), unnest(x) FROM (SELECT *, CASE{cases} END AS x FROM vals) WHERE x IS NOT NULL),
+told AS (
+  SELECT c.* REPLACE (CASE WHEN kind = 'n' AND k.numeric_date_order = 'MDY' THEN d ELSE mo END AS mo, CASE WHEN kind = 'n' AND k.numeric_date_order = 'MDY' THEN mo ELSE d END AS d, upper(zone) AS zone), k.time_zone AS tz
+  FROM cut c LEFT JOIN source_clocks k USING (source_database_id) WHERE kind <> 'n' OR k.numeric_date_order IN ('MDY', 'DMY')),
+dated AS (
+  SELECT *, CASE WHEN half = '' THEN {number('h')} WHEN {number('h')} BETWEEN 1 AND 12 THEN {number('h')} % 12 + CASE WHEN lower(half) = 'p' THEN 12 ELSE 0 END END AS hh,
+    try_cast(printf('%04d-%02d-%02d', try_cast(y AS INT), {month}, try_cast(d AS INT)) AS TIMESTAMP) AS day FROM told),
+local AS (
+  SELECT *, CASE WHEN hh <= 23 AND {number('mi')} <= 59 AND {number('s')} <= 59 THEN day + to_microseconds(((hh * 60 + {number('mi')}) * 60 + {number('s')}) * 1000000 + {number("rpad(left(us, 6), 6, '0')")}) END AS t FROM dated),
+placed AS (
+  SELECT *, timezone(tz, t) AS late, nullif(regexp_extract(zone, '([+-][0-9]{{1,2}}):?([0-9]{{2}})?$', 1), '') AS oh, nullif(regexp_extract(zone, '[+-][0-9]{{1,2}}:?([0-9]{{2}})$', 1), '') AS om,
+    epoch_us(t) AS us0, epoch_us(timezone(tz, make_timestamp(year(t), 1, 15, 0, 0, 0.0))) - epoch_us(make_timestamp(year(t), 1, 15, 0, 0, 0.0)) AS w, epoch_us(timezone(tz, make_timestamp(year(t), 7, 15, 0, 0, 0.0))) - epoch_us(make_timestamp(year(t), 7, 15, 0, 0, 0.0)) AS u FROM local)
+SELECT DISTINCT project_uid, field_name, CASE
+    WHEN kind = 'e' THEN CASE WHEN length(y) <= 10 THEN y::BIGINT * 1000000 WHEN length(y) <= 13 THEN y::BIGINT * 1000 WHEN length(y) <= 16 THEN y::BIGINT ELSE y::BIGINT // 1000 END
+    WHEN zone = '' THEN epoch_us(CASE WHEN timezone(tz, late - INTERVAL 1 HOUR) = t THEN late - INTERVAL 1 HOUR ELSE late END)
+    WHEN zone IN ('Z', 'UTC', 'GMT', 'UT') THEN us0
+    WHEN oh IS NOT NULL THEN us0 - (abs(oh::BIGINT) * 60 + coalesce(om::BIGINT, 0)) * 60000000 * CASE WHEN oh LIKE '-%' THEN -1 ELSE 1 END
+    WHEN regexp_matches(zone, '{SUMMER_ZONE}') THEN us0 + least(w, u) ELSE us0 + greatest(w, u) END AS utc_us
+FROM placed WHERE utc_us IS NOT NULL"""
+
+
+PROJECTS, FILES_STAGED = json_fields("stg_projects", "raw_project_json", "project", PROJECT_FIELDS), json_fields("stg_files", "raw_file_json", "file", FILE_FIELDS)
+DRIFT = f"""WITH {PROJECTS}, {FILES_STAGED},
+named AS (
+  SELECT source_database_id AS d, lower(trim(unnest(string_split(source_schema_signature, '|')))) AS f, NULL AS feeds FROM source_databases
+  UNION ALL SELECT DISTINCT source_database_id, lower(trim(source_table_name)), 'project' FROM stg_projects UNION ALL SELECT DISTINCT source_database_id, lower(trim(source_table_name)), 'file' FROM stg_files),
+profile AS (
+  SELECT * FROM project_fields UNION ALL SELECT * FROM file_fields
+  UNION ALL SELECT 'table', d, f, []::VARCHAR[], max(feeds) FROM named WHERE f <> '' AND d IS NOT NULL GROUP BY d, f),
+steps AS (SELECT lag(source_database_id) OVER (PARTITION BY source_student_id ORDER BY registered_at_utc, source_database_id) AS d0, source_database_id AS d1 FROM source_databases WHERE source_student_id IS NOT NULL),
+pairs AS (SELECT DISTINCT s.d0, s.d1, a.entity FROM steps s JOIN profile a ON a.d = s.d0 JOIN profile b ON b.d = s.d1 AND b.entity = a.entity),
+gone AS (SELECT p.d1, a.* FROM pairs p JOIN profile a ON a.d = p.d0 AND a.entity = p.entity WHERE NOT EXISTS (SELECT 1 FROM profile b WHERE b.d = p.d1 AND b.entity = a.entity AND b.f = a.f)),
+come AS (SELECT p.d1, b.* FROM pairs p JOIN profile b ON b.d = p.d1 AND b.entity = p.entity WHERE NOT EXISTS (SELECT 1 FROM profile a WHERE a.d = p.d0 AND a.entity = b.entity AND a.f = b.f)),
+moved AS (SELECT g.d1, g.entity, g.f AS f0, c.f AS f1 FROM gone g JOIN come c ON c.d1 = g.d1 AND c.entity = g.entity AND c.feeds = g.feeds)
+SELECT d1 AS source_database_id, entity, 'renamed' AS change_kind, f0 AS field_before, f1 AS field_after FROM moved
+UNION ALL SELECT d1, entity, 'removed', f, '' FROM gone g WHERE NOT EXISTS (SELECT 1 FROM moved m WHERE m.d1 = g.d1 AND m.entity = g.entity AND m.f0 = g.f)
+UNION ALL SELECT d1, entity, 'added', '', f FROM come c WHERE NOT EXISTS (SELECT 1 FROM moved m WHERE m.d1 = c.d1 AND m.entity = c.entity AND m.f1 = c.f)
+UNION ALL SELECT p.d1, a.entity, 'type_changed', a.f, a.f FROM pairs p JOIN profile a ON a.d = p.d0 AND a.entity = p.entity JOIN profile b ON b.d = p.d1 AND b.entity = a.entity AND b.f = a.f WHERE len(a.types) > 0 AND len(b.types) > 0 AND a.types <> b.types"""
+
 ORACLES: dict[str, str] = {
+    "p2_found": timestamps(),
+    "p4_found": DRIFT,
     "s_staged_projects": staged("stg_projects", "raw_project_json", "project_uid", {f: f for f in ("title", "language", "doi", "project_url", "upload_date")}, PROJECT_ALIASES),
     "s_staged_files": f"SELECT file_uid, file_name, file_type, try_cast(size AS DOUBLE)::BIGINT AS size_bytes FROM ({staged('stg_files', 'raw_file_json', 'file_uid', {'file_name': 'file_name', 'file_type': 'file_type', 'file_size_bytes': 'size'}, FILE_ALIASES)})",
     "s_schema_signatures": "SELECT array_to_string(list_sort(list_transform(string_split(source_schema_signature, '|'), lambda t: lower(trim(t)))), '|') AS signature, count(*) AS databases FROM source_databases GROUP BY 1",
