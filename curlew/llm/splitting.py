@@ -43,7 +43,8 @@ UNITS_AT_ONCE = 4096
 def breaks(text: str) -> dict[int, int]:
     """Position of each natural break inside ``text`` with its kind (index in KINDS)."""
     found: dict[int, int] = {}
-    for kind, pattern, at_end in ((2, SENTENCE, True), (3, LINE, True), (4, LIST_ITEM, False), (5, TURN, False), (6, PARAGRAPH, True)):
+    lines = ((3, LINE, True), (4, LIST_ITEM, False), (5, TURN, False), (6, PARAGRAPH, True)) if "\n" in text or "\r" in text else ()
+    for kind, pattern, at_end in ((2, SENTENCE, True), *lines):
         for m in pattern.finditer(text):
             position = m.end() if at_end else m.start()
             if 0 < position < len(text):
@@ -51,19 +52,19 @@ def breaks(text: str) -> dict[int, int]:
     return found
 
 
-_HASHED: dict[str, int] = {}
+class Cells(dict):
+    """The cell of each pre-token in cohesion vectors; -1 for words of under four letters, digits and signs."""
 
-
-def term(word: str) -> int:
-    """The cell of a pre-token in cohesion vectors; -1 for words of under four letters, digits and signs."""
-    cell = _HASHED.get(word)
-    if cell is None:
+    def __missing__(self, word: str) -> int:
         plain = word.strip().lower()
         cell = zlib.crc32(plain.encode("utf-8", "surrogatepass")) % WIDTH if len(plain) > 3 and plain.isalpha() else -1
-        if len(_HASHED) > 200_000:
-            _HASHED.clear()
-        _HASHED[word] = cell
-    return cell
+        if len(self) > 200_000:
+            self.clear()
+        self[word] = cell
+        return cell
+
+
+CELLS = Cells()
 
 
 def depths(cells: np.ndarray, unit_of: np.ndarray, units: int) -> np.ndarray:
@@ -148,7 +149,7 @@ def pieces(text: str, words: list[str], coder: Encoder, limit: int, overlap: int
     unit_start = np.flatnonzero(is_break)
     depth = np.zeros(n + 1)
     if len(unit_start):
-        depth[unit_start] = depths(np.fromiter(map(term, atoms), np.int64, n), unit_of, len(unit_start) + 1)[1:]
+        depth[unit_start] = depths(np.fromiter(map(CELLS.__getitem__, atoms), np.int64, n), unit_of, len(unit_start) + 1)[1:]
     out: list[tuple[int, int, int, int, str]] = []
     begin, done = 0, 0  # where the piece begins, and how far the pieces before it have come
     while True:

@@ -35,6 +35,9 @@ LONG_WORD = 200
 #: Bytes of an Arrow batch, and of the texts that a worker handles together.
 BATCH_BYTES, PART_BYTES = 64 << 20, 4 << 20
 NO_LIMIT = np.iinfo(np.int64).max
+NO_RANK = 1 << 60
+#: Bytes up to which scanning a word for its lowest pair is quicker than a heap.
+SHORT = 48
 
 
 def default_path(name: str = "byte_bpe_50k") -> str:
@@ -107,6 +110,30 @@ class Vocabulary:
 
 def merge(word: bytes, ranks: dict[bytes, int], below: int | None = None) -> list[bytes]:
     """Exact BPE: merge the pair of lowest rank, leftmost first, until none is left (of a rank under ``below``)."""
+    return merge_short(word, ranks, NO_RANK if below is None else below) if len(word) <= SHORT else merge_long(word, ranks, below)
+
+
+def merge_short(word: bytes, ranks: dict[bytes, int], below: int) -> list[bytes]:
+    """By scanning the few pairs of a short word for the lowest rank."""
+    get = ranks.get
+    parts = [word[i : i + 1] for i in range(len(word))]
+    order = [get(word[i : i + 2], NO_RANK) for i in range(len(word) - 1)]
+    while order:
+        lowest = min(order)
+        if lowest >= below:
+            break
+        i = order.index(lowest)
+        parts[i] += parts.pop(i + 1)
+        del order[i]
+        if i:
+            order[i - 1] = get(parts[i - 1] + parts[i], NO_RANK)
+        if i < len(order):
+            order[i] = get(parts[i] + parts[i + 1], NO_RANK)
+    return parts
+
+
+def merge_long(word: bytes, ranks: dict[bytes, int], below: int | None) -> list[bytes]:
+    """With a heap of pairs, for words without natural end."""
     n = len(word)
     after, before, end = list(range(1, n + 1)), list(range(-1, n - 1)), list(range(1, n + 1))
     alive = [True] * n
