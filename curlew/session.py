@@ -48,6 +48,11 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+def _folder(spark: SparkSession) -> str:
+    """The application's own part of the shared folder."""
+    return f"{shared_dir(spark)}/curlew/{spark.sparkContext.applicationId}"
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and return a scan of what was written.
 
@@ -55,14 +60,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     (broadcast, skew splitting) and a lost executor re-runs no earlier stage.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/curlew/{name}-{uuid.uuid4().hex}"
+    path = f"{_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def release(spark: SparkSession) -> None:
-    """Delete the intermediate tables of all sessions that share the folder; call it when no result that reads them is needed any more."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/curlew")
+    """Delete this application's intermediate tables; call it when no result that reads them is needed any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_folder(spark))
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 

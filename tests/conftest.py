@@ -11,8 +11,9 @@ sys.path[:0] = [os.path.dirname(HERE), HERE]
 
 @pytest.fixture(scope="session")
 def spark():
-    from curlew.session import local_session
+    from curlew.session import local_session, release
 
     session = local_session(4, app="tests")
     yield session
+    release(session)
     session.stop()
