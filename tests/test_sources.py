@@ -78,9 +78,9 @@ def test_ledger_keeps_what_sequential_inserts_keep(spark):
 
 
 def test_records(spark, tmp_path):
-    (tmp_path / "r.csv").write_text(' Student_ID ,metadata_url,base_data\n23071063.0,https://github.com/u/r/blob/main/x.db,"a/b; https://drive.google.com/x"\n12,,\n')
+    (tmp_path / "r.csv").write_text(' Student_ID ,metadata_url,base_data\n12345678.0,https://github.com/u/r/blob/main/x.db,"a/b; https://drive.google.com/x"\n12,,\n')
     rows = records.registry(records.read_csv_strings(spark, str(tmp_path / "r.csv"), ("student_id",))).orderBy("student_id").collect()
-    assert [(r["student_id"], r["valid"], r["url_changed"], r["copies"]) for r in rows] == [("12", False, False, 1), ("23071063", True, True, 1)]
+    assert [(r["student_id"], r["valid"], r["url_changed"], r["copies"]) for r in rows] == [("12", False, False, 1), ("12345678", True, True, 1)]
     assert [b["provider"] for b in rows[1]["base_data"]] == ["LOCAL_OR_RELATIVE_PATH", "GOOGLE_DRIVE"]
     with pytest.raises(ValueError):
         records.read_csv_strings(spark, str(tmp_path / "r.csv"), ("other",))
