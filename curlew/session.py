@@ -8,6 +8,7 @@ local session may fall back to a folder of its own.
 from __future__ import annotations
 
 import atexit
+import os
 import shutil
 import tempfile
 import uuid
@@ -71,8 +72,21 @@ def release(spark: SparkSession) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver did, whatever folder the session was started in.
+
+    A cluster whose executors don't share that folder gets the package by ``--py-files``.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table by name."""
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
