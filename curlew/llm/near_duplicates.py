@@ -3,22 +3,25 @@
 1. Rows become sorted word lists; rows with the same words form a text class, and
    only one representative of a class goes on, so exact and formatting copies cost
    nothing further however many there are.
-2. Each class is sketched as a weighted set of (word, occurrence): a word counts by
-   its rarity over all documents, which keeps the similarity of true pairs and
-   pushes that of unrelated texts of one subject down.
-3. Bands of the sketch join classes that may be alike; 128 two-bit coordinates that
-   travel with each band drop pairs that are far apart before any text is fetched.
-4. The agreement of what remains is computed exactly from the words.
-
-Banding is probabilistic: with the defaults a pair at agreement 0.75 is found with a
-probability of over 0.99 and one at 0.8 with over 0.999.
+2. Each class is sketched as the set of its (word, occurrence), every one alike, so
+   that the similarity sought is the one required whatever words were edited.
+3. Bands of the sketch join classes that may be alike. The number of words and a
+   signature of 512 bits travel with each band and bound the common words from
+   above, so pairs that can't agree are dropped before any text is fetched, and no other.
+4. Classes of hot bands (a template that many texts share) are joined by their rarest
+   words instead, where that makes fewer pairs: texts that agree share one of them.
+5. The agreement of what remains is computed exactly from the words.
+
+Only banding is probabilistic: with the defaults a pair at agreement 0.75 is found with
+a probability of over 0.99 and one at 0.8 with over 0.999.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +35,7 @@ from curlew.llm.tokenizer import small_batches
 from curlew.session import materialize
 
 WORDS = regex.compile(r"[\p{L}\p{N}]+")
-BITS = ("b0", "b1", "b2", "b3")
+SIGNATURE = tuple(f"s{i}" for i in range(8))
 #: Texts sketched together; it bounds a worker's memory and changes no result.
 SKETCH_BATCH = 500
 
@@ -94,45 +97,88 @@ def word_weights(classes: DataFrame, max_weight: int) -> dict[str, int]:
     return {w: min(max_weight, max(1, int(np.log2(total / n)))) for w, n in frequent.collect()}
 
 
-def sketches(classes: DataFrame, weights: dict[str, int], max_weight: int, bands: int, band_rows: int) -> DataFrame:
-    """(id, b0..b3, keys): 128 two-bit coordinates and the band keys of each class."""
-    shared = classes.sparkSession.sparkContext.broadcast(weights)
+def signed(classes: DataFrame, keys: Callable[[list[str], np.ndarray, np.ndarray, list[int]], pa.ListArray], name: str) -> DataFrame:
+    """(id, size, s0..s7, keys): number of words, signature, and what ``keys`` makes of (words, hashed elements, owner, sizes)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weight, t = shared.value, max(128, bands * band_rows)
-        known: dict[str, tuple[int, int]] = {}
+        known: dict[str, int] = {}
         for batch in batches:
             for start in range(0, batch.num_rows, SKETCH_BATCH):
                 part = batch.slice(start, SKETCH_BATCH)
                 split = [w.split(" ") for w in part.column(1).to_pylist()]
                 for w in set().union(*split).difference(known):
-                    known[w] = (xxhash.xxh3_64_intdigest(w), weight.get(w, max_weight))
-                flat = [known[w] for words in split for w in words]
-                owner = np.repeat(np.arange(len(split)), [len(words) for words in split])
-                hashes, times = np.array([h for h, _ in flat], np.uint64), np.array([w for _, w in flat])
+                    known[w] = xxhash.xxh3_64_intdigest(w)
+                flat, sizes = [w for words in split for w in words], [len(words) for words in split]
+                owner, hashes = np.repeat(np.arange(len(split)), sizes), np.array([known[w] for w in flat], np.uint64)
                 if len(known) > 500_000:
                     known.clear()
                 # Sorted words: the place in a run of equal ones is the occurrence.
                 place = np.arange(len(hashes))
                 first = np.r_[True, (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])]
                 occurrence = (place - np.maximum.accumulate(np.where(first, place, 0))).astype(np.uint64)
-                elements = np.repeat(S.mix(hashes + occurrence * S._B), times)
-                copy = (np.arange(len(elements)) - np.repeat(np.cumsum(times) - times, times)).astype(np.uint64)
-                made = S.sketch(S.mix(elements + copy * S._C), np.repeat(owner, times), len(split), t)
-                bits, keys = S.two_bits(made), S.band_keys(made, bands, band_rows)
-                offsets = pa.array(np.arange(0, keys.size + 1, bands, dtype=np.int32))
-                yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(bits[:, i]) for i in range(4)), pa.ListArray.from_arrays(offsets, pa.array(keys.ravel()))], names=["id", *BITS, "keys"])
+                elements = S.mix(hashes + occurrence * S._B)
+                bits = S.signature(elements, owner, len(split), 64 * len(SIGNATURE))
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes, pa.int32()), *(pa.array(bits[:, i]) for i in range(len(SIGNATURE))), keys(flat, elements, owner, sizes)], names=["id", "size", *SIGNATURE, "keys"])
+
+    return materialize(classes.select("id", "words").mapInArrow(run, f"id long, size int, {', '.join(f'{c} long' for c in SIGNATURE)}, keys array<long>"), name)
+
+
+def sketches(classes: DataFrame, bands: int, band_rows: int) -> DataFrame:
+    """The band keys of each class, and its signature."""
+
+    def keys(_flat: list[str], elements: np.ndarray, owner: np.ndarray, sizes: list[int]) -> pa.ListArray:
+        made = S.band_keys(S.sketch(elements, owner, len(sizes), bands * band_rows), bands, band_rows)
+        return pa.ListArray.from_arrays(pa.array(np.arange(0, made.size + 1, bands, dtype=np.int32)), pa.array(made.ravel()))
+
+    return signed(classes, keys, "sketches")
+
+
+def prefixes(classes: DataFrame, weights: dict[str, int], max_weight: int, least: float) -> DataFrame:
+    """The rarest (word, occurrence) of each class, and its signature: of n words so many that texts that agree to ``least`` share one."""
+    shared = classes.sparkSession.sparkContext.broadcast(weights)
+
+    def keys(flat: list[str], elements: np.ndarray, owner: np.ndarray, sizes: list[int]) -> pa.ListArray:
+        common = np.array([-shared.value.get(w, max_weight) for w in flat])
+        order = np.lexsort((elements, common, owner))
+        taken = [n - needed(n, least) + 1 for n in sizes]
+        place = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        made = elements[order][place < np.repeat(taken, sizes)].astype(np.int64)
+        return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(taken)].astype(np.int32)), pa.array(made))
+
+    return signed(classes, keys, "prefixes")
 
-    return materialize(classes.select("id", "words").mapInArrow(run, "id long, b0 long, b1 long, b2 long, b3 long, keys array<long>"), "sketches")
 
+def needed(size: int, least: float) -> int:
+    """Words that a text of ``size`` words has in common with any that agrees to ``least`` (rounding errors aside)."""
+    return max(1, math.ceil(size * least - 1e-9))
 
-def candidates(made: DataFrame, far: int) -> DataFrame:
-    """(a, b): ids that share a band and differ in at most ``far`` of 128 two-bit coordinates."""
-    banded = made.select("id", *BITS, F.explode("keys").alias("band"))
-    a, b = (banded.select("band", *[F.col(c).alias(f"{c}_{n}") for c in ("id", *BITS)]) for n in "ab")
-    crossed = [F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b")) for c in BITS]
-    differ = sum(F.bit_count(x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(0x5555555555555555))) for x in crossed)
-    return a.join(b, "band").where((F.col("id_a") < F.col("id_b")) & (differ <= far)).select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
+
+def joined(keyed: DataFrame, least: float) -> DataFrame:
+    """(a, b): ids that share a key (id, size, s0..s7, key), without pairs whose sizes or signatures rule agreement out.
+
+    A bit that only one of the two has stands for at least one word of its own.
+    """
+    a, b = (keyed.select("key", *[F.col(c).alias(f"{c}_{n}") for c in ("id", "size", *SIGNATURE)]) for n in "ab")
+    common = F.ceil(F.greatest("size_a", "size_b") * F.lit(least) - F.lit(1e-9))
+    own = lambda x, y: sum(F.bit_count(F.col(f"{c}_{x}").bitwiseAND(F.bitwise_not(F.col(f"{c}_{y}")))) for c in SIGNATURE)
+    may = (F.col("id_a") < F.col("id_b")) & (F.least("size_a", "size_b") >= common) & (own("a", "b") <= F.col("size_a") - common) & (own("b", "a") <= F.col("size_b") - common)
+    return a.join(b, "key").where(may).select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
+
+
+def candidates(made: DataFrame, classes: DataFrame, least: float, max_weight: int, hot: int) -> DataFrame:
+    """(a, b): ids that share a band and may agree; bands of over ``hot`` classes are replaced by the rarest words of these classes if that makes fewer pairs."""
+    keyed = lambda df: df.select("id", "size", *SIGNATURE, F.explode("keys").alias("key"))
+    bands = keyed(made)
+    of_key = lambda df: df.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    pairs_of = lambda df: df.agg(F.sum(F.col("n") * (F.col("n") - 1.0))).first()[0] or 0
+    large = materialize(of_key(bands).where(F.col("n") > hot), "large")
+    if not (most := pairs_of(large)):
+        return joined(bands, least).distinct()
+    some = materialize(classes.join(bands.join(large, "key", "left_semi").select("id").distinct(), "id", "left_semi"), "some")
+    rarest = keyed(prefixes(some, word_weights(some, max_weight), max_weight, least))
+    if pairs_of(of_key(rarest)) >= most:
+        return joined(bands, least).distinct()
+    return joined(bands.join(large, "key", "left_anti"), least).unionByName(joined(rarest, least)).distinct()
 
 
 def verified(pairs: DataFrame, classes: DataFrame, least: float) -> DataFrame:
@@ -158,8 +204,8 @@ def near_duplicates(
     least: float = 0.75,
     bands: int = 40,
     band_rows: int = 4,
-    max_weight: int = 6,
-    far: int = 60,
+    max_weight: int = 10,
+    hot: int = 10_000,
     expand: int = 1000,
 ) -> DataFrame:
     """(key_a, key_b): every pair of records that agree, the smaller key first.
@@ -173,8 +219,8 @@ def near_duplicates(
     between different texts is lost.
     """
     members, classes = text_classes(rows, key, title, description, min_words)
-    made = sketches(classes, word_weights(classes, max_weight), max_weight, bands, band_rows)
-    found = materialize(verified(materialize(candidates(made, far), "candidates"), classes, least).select("a", "b"), "found")
+    near = candidates(sketches(classes, bands, band_rows), classes, least, max_weight, hot)
+    found = materialize(verified(materialize(near, "candidates"), classes, least).select("a", "b"), "found")
     sizes = classes.select("id", "text_key", "rep", "n")
     listed = materialize(
         members.join(sizes.where((F.col("n") > 1) & (F.col("n") <= expand)).select("text_key", "id"), "text_key").select("id", "key")

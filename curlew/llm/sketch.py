@@ -52,8 +52,8 @@ def band_keys(sketches: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return key.astype(np.int64)
 
 
-def two_bits(sketches: np.ndarray, coordinates: int = 128) -> np.ndarray:
-    """Two bits of each of the first ``coordinates`` coordinates, packed in 64-bit integers (32 coordinates each)."""
-    value = mix(sketches[:, :coordinates])
-    bits = np.stack([(value >> np.uint64(1)) & np.uint64(1), value & np.uint64(1)], axis=2).astype(np.uint8)
-    return np.packbits(bits.reshape(len(sketches), -1), axis=1).view(">i8").astype(np.int64)
+def signature(elements: np.ndarray, owner: np.ndarray, sets: int, width: int) -> np.ndarray:
+    """``sets`` x ``width`` bits, those of a set's elements set, packed in 64-bit integers."""
+    bits = np.zeros((sets, width), np.uint8)
+    bits[owner, (mix(elements + _C) % np.uint64(width)).astype(np.int64)] = 1
+    return np.packbits(bits, axis=1).view(">i8").astype(np.int64)

@@ -86,3 +86,30 @@ def test_sketch_estimates_jaccard_and_fills(share):
     full = np.iinfo(np.uint64).max
     assert (made[:3] != full).all() and (made[3] == full).all()
     assert abs((made[0] == made[1]).mean() - common / (2 * n - common)) < 0.12
+
+
+def templates(shared, own, rows, seed=2):
+    """Texts of ``shared`` equal words and ``own`` words each that hardly any other text has; half repeat another's with few changes."""
+    r, out = random.Random(seed), []
+    for i in range(rows):
+        words = [f"own{r.randrange(10**6)}" for _ in range(own)]
+        if i % 2:
+            words[: own - 3] = out[-1][: own - 3]
+        out.append(words)
+    return [(f"p{i:03}", None, " ".join([f"shared{k}" for k in range(shared)] + words)) for i, words in enumerate(out)]
+
+
+@pytest.mark.parametrize("hot", [10, 10_000])
+@pytest.mark.parametrize("shared, own", [(48, 16), (40, 24)])
+def test_hot_template_with_rare_edits(spark, shared, own, hot):
+    rows = templates(shared, own, 80) + [("x", None, " ".join(f"other{k}" for k in range(64)))]
+    true, found = brute(rows), pairs(near_duplicates(frame(spark, rows), hot=hot))
+    assert len(true) == (80 * 79 // 2 if own == 16 else 40)
+    assert found <= true and len(found) >= (1 if hot == 10 else 0.97) * len(true)
+
+
+def test_filters_lose_no_pair(spark):
+    rows = corpus(seed=3)
+    true = brute(rows)
+    assert pairs(near_duplicates(frame(spark, rows), bands=160, band_rows=1)) == true
+    assert pairs(near_duplicates(frame(spark, rows), bands=160, band_rows=1, hot=1)) == true
