@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -54,14 +54,7 @@ def surrogate_ids(df: DataFrame, order: list[str], name: str = "id") -> DataFram
     return ranged.join(offsets, "_p").withColumn(name, F.col("_o") + F.col("_i") + 1).drop("_m", "_p", "_i", "_o")
 
 
-def migrate_ledger(ledger: DataFrame) -> dict[str, DataFrame]:
-    """The acquisition ledger as projects, files, person roles and licenses.
-
-    Ledger columns: repository, dataset_url, qda_url, title, description, doi,
-    download_timestamp, local_directory, local_qda_filename, file_type,
-    download_status, error_message, uploader_name, license. Files, roles and
-    licenses join back by URL, so projects that share one fan out.
-    """
+def _ledger_projects(ledger: DataFrame) -> DataFrame:
     repository = F.lower("repository")
     ident, link = F.lit(0), F.lit("")
     for name, (number, url) in V.LEDGER_REPOSITORIES.items():
@@ -69,18 +62,45 @@ def migrate_ledger(ledger: DataFrame) -> dict[str, DataFrame]:
     url = F.coalesce("dataset_url", "qda_url")
     folder = F.concat(F.lit("data/raw/"), repository, F.lit("/"))
     doi = F.when(F.col("doi").isNull() | (F.trim("doi") == ""), None).when(F.lower("doi").startswith("http"), F.col("doi")).otherwise(F.concat(F.lit("https://doi.org/"), F.col("doi")))
-    projects = ledger.select(
+    return ledger.select(
         ident.alias("repository_id"), link.alias("repository_url"), url.alias("project_url"), F.coalesce("title", "local_qda_filename", url).alias("title"), F.coalesce("description", F.lit("")).alias("description"),
         doi.alias("doi"), F.col("download_timestamp").alias("download_date"), repository.alias("download_repository_folder"), F.replace(F.col("local_directory"), folder, F.lit("")).alias("download_project_folder"), F.lit("API-CALL").alias("download_method"),
     ).distinct()
-    keyed = projects.withColumn("project_id", F.sha2(F.to_json(F.struct(*projects.columns), {"ignoreNullFields": "false"}), 256))
-    joined = ledger.withColumn("project_url", url).join(keyed.select("project_id", "project_url"), "project_url")
+
+
+def _ledger_file() -> list[Column]:
+    """file_name, file_type and status of a ledger row."""
     name, kind, error = F.col("local_qda_filename"), F.col("file_type"), F.lower(F.coalesce("error_message", F.lit("")))
-    files = joined.select(
-        "project_id", name.alias("file_name"),
+    return [
+        name.alias("file_name"),
         F.when(kind.isNotNull() & (F.trim(kind) != ""), F.lower(kind)).when(F.instr(name, ".") > 0, F.lower(F.regexp_replace(name, r"(?s)^[^.]*\.", ""))).otherwise("unknown").alias("file_type"),
         F.when(F.upper(F.coalesce("download_status", F.lit(""))).isin("OK", "SUCCEEDED"), "SUCCEEDED").when(F.contains(error, F.lit("login")), "FAILED_LOGIN_REQUIRED").when(F.contains(error, F.lit("large")), "FAILED_TOO_LARGE").otherwise("FAILED_SERVER_UNRESPONSIVE").alias("status"),
-    )
+    ]
+
+
+def migrated_file_counts(ledger: DataFrame) -> DataFrame:
+    """(file_type, status, files): the files of ``migrate_ledger`` counted.
+
+    Both sides are counted by URL before they meet, so a link that many rows share makes no more rows.
+    """
+    told = ledger.select(F.coalesce("dataset_url", "qda_url").alias("project_url"), *_ledger_file()[1:])
+    told = told.groupBy("project_url", "file_type", "status").agg(F.count(F.lit(1)).alias("_rows"))
+    sharing = _ledger_projects(ledger).groupBy("project_url").agg(F.count(F.lit(1)).alias("_projects"))
+    return told.join(sharing, "project_url").groupBy("file_type", "status").agg(F.sum(F.col("_rows") * F.col("_projects")).alias("files"))
+
+
+def migrate_ledger(ledger: DataFrame) -> dict[str, DataFrame]:
+    """The acquisition ledger as projects, files, person roles and licenses.
+
+    Ledger columns: repository, dataset_url, qda_url, title, description, doi,
+    download_timestamp, local_directory, local_qda_filename, file_type,
+    download_status, error_message, uploader_name, license. Files, roles and
+    licenses join back by URL, so projects that share one fan out.
+    """
+    projects = _ledger_projects(ledger)
+    keyed = projects.withColumn("project_id", F.sha2(F.to_json(F.struct(*projects.columns), {"ignoreNullFields": "false"}), 256))
+    joined = ledger.withColumn("project_url", F.coalesce("dataset_url", "qda_url")).join(keyed.select("project_id", "project_url"), "project_url")
+    files = joined.select("project_id", *_ledger_file())
     filled = lambda c: F.col(c).isNotNull() & (F.trim(c) != "")
     roles = joined.where(filled("uploader_name")).select("project_id", F.col("uploader_name").alias("name"), F.lit("UPLOADER").alias("role")).distinct()
     licenses = joined.where(filled("license")).select("project_id", "license").distinct()

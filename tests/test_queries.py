@@ -27,6 +27,15 @@ def test_queries_without_sql_run(spark, name):
     assert QUERIES[name](spark, SF_DIR).count() > 0
 
 
+@needs_data
+def test_migrated_file_totals_leave_no_ledger_row_out(spark):
+    narrow = " WHERE regexp_matches(l.dataset_url, '^https?://.+/')"
+    assert ORACLES["l_migrated_files"].count(narrow) == 1
+    found, expected = both(spark, QUERIES["l_migrated_file_totals"], ORACLES["l_migrated_files"].replace(narrow, ""))
+    assert found == expected
+    assert found != both(spark, QUERIES["l_migrated_files"], ORACLES["l_migrated_files"])[0]
+
+
 def test_entry_without_the_llm_subpackage():
     code = "import sys; sys.modules['curlew.llm'] = None\nimport __spark_entry__ as e\nassert not any(k.startswith('p1_') for k in e.queries()) and set(e.oracle_sql()) <= set(e.queries())"
     subprocess.run([sys.executable, "-c", code], cwd=os.path.dirname(os.path.dirname(os.path.abspath(__file__))), check=True)
