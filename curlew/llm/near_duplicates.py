@@ -52,24 +52,24 @@ def agreement(a: list[str], b: list[str]) -> float:
 
 
 def text_classes(rows: DataFrame, key: str, title: str, description: str, min_words: int) -> tuple[DataFrame, DataFrame]:
-    """(members: text_key, key) and (classes: id, text_key, rep, n, words), both written to the shared folder."""
+    """(members: text_key, copy, key) and (classes: id, text_key, rep, n, words), both written to the shared folder."""
     small_batches(rows.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, texts, digests = [], [], []
+            keys, texts, digests, copies = [], [], [], []
             for k, t, d in zip(*(c.to_pylist() for c in batch.columns)):
                 body = words_of(d)
                 if len(body) >= min_words:
                     text = " ".join(sorted(words_of(t) + body))
-                    keys.append(k), texts.append(text), digests.append(hashlib.md5(text.encode()).digest())
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(digests, pa.binary()), pa.array(texts, pa.string())], names=["key", "text_key", "words"])
+                    keys.append(k), texts.append(text), digests.append(hashlib.md5(text.encode()).digest()), copies.append(hashlib.md5(repr((t, d)).encode()).digest())
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(digests, pa.binary()), pa.array(texts, pa.string()), pa.array(copies, pa.binary())], names=["key", "text_key", "words", "copy"])
 
     columns = [F.col(c).cast("string") for c in (key, title, description)]
-    texts = rows.where(F.col(key).isNotNull() & F.col(description).isNotNull()).select(*columns).mapInArrow(run, "key string, text_key binary, words string")
+    texts = rows.where(F.col(key).isNotNull() & F.col(description).isNotNull()).select(*columns).mapInArrow(run, "key string, text_key binary, words string, copy binary")
     texts = materialize(texts, "texts")
     classes = texts.groupBy("text_key").agg(F.min("key").alias("rep"), F.count(F.lit(1)).alias("n"), F.min("words").alias("words"))
-    return texts.select("text_key", "key"), materialize(classes.select(F.monotonically_increasing_id().alias("id"), "text_key", "rep", "n", "words"), "classes")
+    return texts.select("text_key", "copy", "key"), materialize(classes.select(F.monotonically_increasing_id().alias("id"), "text_key", "rep", "n", "words"), "classes")
 
 
 def word_weights(classes: DataFrame, max_weight: int) -> dict[str, int]:
@@ -213,24 +213,27 @@ def near_duplicates(
     Records with a null key or description, or fewer than ``min_words`` words in
     the description, are in no pair; a null title has no words. Rows that repeat a
     key count once. Members of a class of equal words are paired with each other and
-    with the members of classes that agree with theirs; a class of over ``expand``
-    members, whose pairs would be quadratic, is linked as a star from its smallest
-    key, which also stands for it in links to other classes, so that no link
-    between different texts is lost.
+    with the members of classes that agree with theirs; in a class of over
+    ``expand`` members, whose pairs would be quadratic, rows of identical title and
+    description are linked as a star from their smallest key, which stands for them
+    in links to all other texts, those of the class included.
     """
     members, classes = text_classes(rows, key, title, description, min_words)
     near = candidates(sketches(classes, bands, band_rows), classes, least, max_weight, hot)
     found = materialize(verified(materialize(near, "candidates"), classes, least).select("a", "b"), "found")
     sizes = classes.select("id", "text_key", "rep", "n")
+    large = members.join(sizes.where(F.col("n") > expand).select("text_key", "id"), "text_key")
+    stars = materialize(large.groupBy("id", "text_key", "copy").agg(F.min("key").alias("rep")), "stars")
     listed = materialize(
         members.join(sizes.where((F.col("n") > 1) & (F.col("n") <= expand)).select("text_key", "id"), "text_key").select("id", "key")
-        .unionByName(sizes.where((F.col("n") == 1) | (F.col("n") > expand)).select("id", F.col("rep").alias("key"))),
+        .unionByName(sizes.where(F.col("n") == 1).select("id", F.col("rep").alias("key")))
+        .unionByName(stars.select("id", F.col("rep").alias("key"))),
         "listed",
     )
     side = lambda n: listed.select(F.col("id").alias(n), F.col("key").alias(f"key_{n}"))
     between = found.join(side("a"), "a").join(side("b"), "b").select("key_a", "key_b")
-    several = listed.join(sizes.where((F.col("n") > 1) & (F.col("n") <= expand)).select("id"), "id", "left_semi")
+    several = listed.join(sizes.where(F.col("n") > 1).select("id"), "id", "left_semi")
     within = several.select("id", F.col("key").alias("key_a")).join(several.select("id", F.col("key").alias("key_b")), "id").where("key_a < key_b").select("key_a", "key_b")
-    star = members.join(sizes.where(F.col("n") > expand).select("text_key", "rep"), "text_key").select(F.col("rep").alias("key_a"), F.col("key").alias("key_b"))
+    star = members.join(stars.select("text_key", "copy", "rep"), ["text_key", "copy"]).select(F.col("rep").alias("key_a"), F.col("key").alias("key_b"))
     pairs = between.unionByName(within).unionByName(star).where("key_a <> key_b")
     return pairs.select(F.least("key_a", "key_b").alias(f"{key}_a"), F.greatest("key_a", "key_b").alias(f"{key}_b")).distinct()

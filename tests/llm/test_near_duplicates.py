@@ -113,3 +113,11 @@ def test_filters_lose_no_pair(spark):
     true = brute(rows)
     assert pairs(near_duplicates(frame(spark, rows), bands=160, band_rows=1)) == true
     assert pairs(near_duplicates(frame(spark, rows), bands=160, band_rows=1, hot=1)) == true
+
+
+def test_only_identical_texts_of_large_classes_become_stars(spark):
+    words = [f"word{i}" for i in range(40)]
+    rows = [(f"p{i}", "t", " ".join(words[i:] + words[:i])) for i in range(8)] + [("q", "t", " ".join(words) + " more")]
+    assert pairs(near_duplicates(frame(spark, rows), expand=5)) == brute(rows)
+    copies = [(f"r{i}", "t", " ".join(words)) for i in range(3)]
+    assert pairs(near_duplicates(frame(spark, rows + copies), expand=5)) == brute(rows) | {("p0", f"r{i}") for i in range(3)}
