@@ -108,7 +108,7 @@ def consistent(rows: DataFrame, raw: str, target: T.StructType, key: tuple[str,
     """All rows in one shape: (key..., delivery, target fields, ``_rescued``).
 
     Rows are ingested under the target's own names, the rescued fields that feed a
-    staged column are approved, and their rescued values are replayed into it.
+    staged column are approved, and the raw rows are ingested again under the approved names.
     """
     names = approved(field_profile(rows, raw, tuple(target.fieldNames()), delivery))
     return ingest(rows.select(*key, delivery, raw), raw, target, names).drop(raw)
