@@ -31,7 +31,7 @@ from curlew.llm.tokenizer import Encoder, encoder, share_vocabulary, slices
 SENTENCE = regex.compile(r"(?:[.!?…]+[\"'”’»)\]]*(?=\s)|[。！？]+)")
 LINE = regex.compile(r"\n+(?=[^\n])|\r+(?=[^\r\n])")
 LIST_ITEM = regex.compile(r"(?m)^[ \t]*(?=(?:[-*•–]|\d{1,3}[.)]|[A-Z]\d{2,4}\t)[ \t]*\S)")
-TURN = regex.compile(r"(?m)^(?=(?:\[\d{1,2}:\d{2}(?::\d{2})?\][ \t]*)?\p{L}[\p{L}\p{N} ._-]{0,30}:[ \t])")
+TURN = regex.compile(r"(?m)^(?=(?:\[\d{1,2}:\d{2}(?::\d{2})?\][ \t]*)?\p{L}[\p{L}\p{N} ._-]{0,30}+:[ \t])")
 PARAGRAPH = regex.compile(r"\n[ \t]*\n\s*(?=\S)")
 KINDS = ("character", "word", "sentence", "line", "list item", "turn", "paragraph", "end")
 #: Hashed words of the cohesion vectors, and sentences on either side of a break.
@@ -40,16 +40,15 @@ WIDTH, BLOCK = 256, 6
 UNITS_AT_ONCE = 4096
 
 
-def breaks(text: str) -> dict[int, int]:
-    """Position of each natural break inside ``text`` with its kind (index in KINDS)."""
-    found: dict[int, int] = {}
-    lines = ((3, LINE, True), (4, LIST_ITEM, False), (5, TURN, False), (6, PARAGRAPH, True)) if "\n" in text or "\r" in text else ()
-    for kind, pattern, at_end in ((2, SENTENCE, True), *lines):
-        for m in pattern.finditer(text):
-            position = m.end() if at_end else m.start()
-            if 0 < position < len(text):
-                found[position] = max(kind, found.get(position, 0))
-    return found
+def breaks(text: str) -> tuple[list[int], list[int]]:
+    """Positions of the natural breaks of ``text`` and their kinds (index in KINDS); a place may be listed several times, or lie at its ends."""
+    places, kinds = [m.end() for m in SENTENCE.finditer(text)], []
+    kinds += [2] * len(places)
+    if "\n" in text or "\r" in text:
+        for kind, pattern, at_end in ((3, LINE, True), (4, LIST_ITEM, False), (5, TURN, False), (6, PARAGRAPH, True)):
+            places += [m.end() for m in pattern.finditer(text)] if at_end else [m.start() for m in pattern.finditer(text)]
+            kinds += [kind] * (len(places) - len(kinds))
+    return places, kinds
 
 
 class Cells(dict):
@@ -75,41 +74,45 @@ def depths(cells: np.ndarray, unit_of: np.ndarray, units: int) -> np.ndarray:
         high = min(units, low + UNITS_AT_ONCE)
         a, b = max(0, low - BLOCK), min(units, high + BLOCK)
         here = valid & (unit_of >= a) & (unit_of < b)
-        counts = np.bincount((unit_of[here] - a) * WIDTH + cells[here], minlength=(b - a) * WIDTH).reshape(b - a, WIDTH)
-        running = np.vstack([np.zeros((1, WIDTH)), np.cumsum(counts, axis=0)])
+        counts = np.bincount((unit_of[here] - a) * WIDTH + cells[here], minlength=(b - a) * WIDTH)
+        running = np.zeros((b - a + 1, WIDTH), np.float32)  # whole numbers, and exact: no block of texts has 2**24 words
+        np.cumsum(counts.reshape(b - a, WIDTH), axis=0, out=running[1:])
         at = np.arange(low, high) - a
         left = running[at] - running[np.maximum(0, at - BLOCK)]
         right = running[np.minimum(b - a, at + BLOCK)] - running[at]
-        norm = np.sqrt((left**2).sum(axis=1) * (right**2).sum(axis=1))
-        cosine[low:high] = np.divide((left * right).sum(axis=1), norm, out=np.zeros(high - low), where=norm > 0)
-    # The peak on a side is the highest value reached before cohesion falls again.
-    rise_left, rise_right = cosine.copy(), cosine.copy()
-    for i in range(1, units):
-        if cosine[i - 1] >= cosine[i]:
-            rise_left[i] = max(rise_left[i - 1], cosine[i - 1])
-    for i in range(units - 2, -1, -1):
-        if cosine[i + 1] >= cosine[i]:
-            rise_right[i] = max(rise_right[i + 1], cosine[i + 1])
-    depth = (rise_left - cosine) + (rise_right - cosine)
+        dot = lambda x, y: np.einsum("ij,ij->i", x, y).astype(float)
+        norm = np.sqrt(dot(left, left) * dot(right, right))
+        cosine[low:high] = np.divide(dot(left, right), norm, out=np.zeros(high - low), where=norm > 0)
+    # The peak on a side is where cohesion, going that way, first falls.
+    place = np.arange(units)
+    falls_left, falls_right = np.r_[True, cosine[:-1] < cosine[1:]], np.r_[cosine[1:] < cosine[:-1], True]
+    peak_left = np.maximum.accumulate(np.where(falls_left, place, 0))
+    peak_right = np.minimum.accumulate(np.where(falls_right, place, units - 1)[::-1])[::-1]
+    depth = (cosine[peak_left] - cosine) + (cosine[peak_right] - cosine)
     depth[0] = 0.0
     return depth
 
 
-def apart(words: list[str], sizes: list[int], coder: Encoder, limit: int) -> tuple[list[str], list[int], set[int]]:
-    """Words, their sizes, and which places lie inside a word: words that are too large alone come apart in runs of characters that surely fit."""
+def apart(words: list[str], sizes: list[int], coder: Encoder, limit: int) -> tuple[list[str], list[int], list[int]]:
+    """Words, their sizes, and which places lie inside a word: words that are too large alone come apart between their tokens.
+
+    Tokens that are right side by side are right without what stands before and
+    after, so the sizes hold for any run of them. Places inside a character are none.
+    """
     atoms: list[str] = []
     atom_sizes: list[int] = []
-    inner: set[int] = set()
-    step = max(1, min(limit, 64) // 4)
+    inner: list[int] = []
     for w, n in zip(words, sizes):
         if n <= limit:
             atoms.append(w), atom_sizes.append(n)
             continue
-        for i in range(0, len(w), step):
-            if i:
-                inner.add(len(atoms))
-            part = w[i : i + step]
-            atoms.append(part), atom_sizes.append(coder.count(part))
+        starts = (np.frombuffer(w.encode("utf-8", "surrogatepass"), np.uint8) & 0xC0) != 0x80
+        ends = np.cumsum(coder.vocabulary.width[np.array(coder.known[w])])
+        tokens = np.flatnonzero(np.r_[starts[ends[:-1]], True]) + 1
+        characters = np.cumsum(starts)[ends[tokens - 1] - 1].tolist()
+        inner += range(len(atoms) + 1, len(atoms) + len(tokens))
+        atoms += [w[i:j] for i, j in zip([0, *characters], characters)]
+        atom_sizes += np.diff(tokens, prepend=0).tolist()
     return atoms, atom_sizes, inner
 
 
@@ -119,30 +122,30 @@ def pieces(text: str, words: list[str], coder: Encoder, limit: int, overlap: int
     whole = sum(sizes)
     if whole <= limit:
         return [(0, len(text), whole, 0, "end")]
-    natural = breaks(text)
-    atoms, atom_sizes, inner = words, sizes, set()
+    atoms, inner = words, []
     if max(sizes) > limit:
-        atoms, atom_sizes, inner = apart(words, sizes, coder, limit)
+        atoms, sizes, inner = apart(words, sizes, coder, limit)
     n = len(atoms)
     start_of, total = np.zeros(n + 1, np.int64), np.zeros(n + 1, np.int64)
     np.cumsum(np.fromiter(map(len, atoms), np.int64, n), out=start_of[1:])
-    np.cumsum(np.fromiter(atom_sizes, np.int64, n), out=total[1:])
+    np.cumsum(sizes, out=total[1:])
+    kind = np.ones(n + 1, np.int64)
+    kind[inner] = 0
 
     def tokens_of(begin: int, end: int) -> int:
-        """Tokens of a piece as a text of its own: only blanks at its end and words taken apart can differ from the sum."""
-        if inner:
+        """Tokens of a piece as a text of its own: only blanks at its end and an apostrophe cut off a word can differ from the sum."""
+        if kind[begin] == 0 and atoms[begin][0] == "'":
             return coder.count(text[start_of[begin] : start_of[end]])
         solid = end
         while solid > begin and atoms[solid - 1].isspace():
             solid -= 1
         return int(total[solid] - total[begin]) + (coder.count(text[start_of[solid] : start_of[end]]) if solid < end else 0)
 
-    positions = np.array(sorted(natural), np.int64)
-    at = np.searchsorted(start_of, positions)
-    kind = np.ones(n + 1, np.int64)
-    kind[list(inner)] = 0
-    # A break inside a pre-token (before the space of the next word) moves to where the next one starts.
-    np.maximum.at(kind, at, [natural[int(p)] for p in positions] if len(positions) else np.zeros(0, np.int64))
+    places, kinds = breaks(text)
+    if places:
+        # A break inside a pre-token (before the space of the next word) moves to where the next one starts.
+        np.maximum.at(kind, np.searchsorted(start_of, places), kinds)
+        kind[[0, n]] = 1
     is_break = kind >= 2
     is_break[0] = is_break[n] = False
     unit_of = np.cumsum(is_break[:n])

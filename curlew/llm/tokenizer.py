@@ -38,6 +38,8 @@ NO_LIMIT = np.iinfo(np.int64).max
 NO_RANK = 1 << 60
 #: Bytes up to which scanning a word for its lowest pair is quicker than a heap.
 SHORT = 48
+#: Under so many new words the vectorised test costs more than exact merging.
+FEW = 5
 
 
 def default_path(name: str = "byte_bpe_50k") -> str:
@@ -74,9 +76,20 @@ class Vocabulary:
         self.size, self.own = size, own
         self.pair_keys = np.array([k for k, _ in pairs], np.int64)
         self.pair_ranks = np.array([r for _, r in pairs], np.int64)
+        # Any two tokens that are a third when put together, whether or not it comes about by them.
+        joins = sorted((a * size + b, rank) for token, rank in ranks.items() for i in range(1, len(token)) if (a := ranks.get(token[:i])) is not None and (b := ranks.get(token[i:])) is not None)
+        self.join_keys = np.array([k for k, _ in joins], np.int64)
+        self.join_ranks = np.array([r for _, r in joins], np.int64)
+        self.width = np.zeros(size, np.int64)
+        for token, rank in ranks.items():
+            self.width[rank] = len(token)
+        self.of_byte = np.array([ranks[bytes([i])] for i in range(256)], np.int64)
+        self.of_bytes = np.array([ranks.get(bytes([i, j]), NO_RANK) for i in range(256) for j in range(256)], np.int64)
         lengths: dict[bytes, set[int]] = {}
         for token in ranks:
-            lengths.setdefault(token[:2], set()).add(len(token))
+            if len(token) > 2:
+                lengths.setdefault(token[:3], set()).add(len(token))
+        #: Lengths of the tokens of three bytes or more that begin with these three, longest first.
         self.lengths = {k: sorted(v, reverse=True) for k, v in lengths.items()}
 
     def rank_of_pair(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -87,6 +100,50 @@ class Vocabulary:
         at = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
         return np.where(self.pair_keys[at] == key, self.pair_ranks[at], NO_LIMIT)
 
+    def join(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The token that a and b are when put together, NO_RANK where they are none."""
+        if not len(self.join_keys):
+            return np.full(len(a), NO_RANK)
+        key = a * self.size + b
+        at = np.minimum(np.searchsorted(self.join_keys, key), len(self.join_keys) - 1)
+        return np.where(self.join_keys[at] == key, self.join_ranks[at], NO_RANK)
+
+    def merge_all(self, words: list[bytes]) -> list[tuple[int, ...]]:
+        """Exact BPE of many words side by side: in each round every word does its next merge, the lowest rank, leftmost first."""
+        out: list[tuple[int, ...]] = [()] * len(words)
+        flat = np.frombuffer(b"".join(words), np.uint8).astype(np.int64)
+        ids, owner = self.of_byte[flat], np.repeat(np.arange(len(words)), np.fromiter(map(len, words), np.int64, len(words)))
+        # What each token becomes with the next one of its word; a word's last token has none.
+        rank = np.full(len(ids), NO_RANK)
+        if len(ids) > 1:
+            rank[:-1] = np.where(owner[1:] == owner[:-1], self.of_bytes[flat[:-1] * 256 + flat[1:]], NO_RANK)
+        while len(ids):
+            begins = np.r_[True, owner[1:] != owner[:-1]]
+            starts = np.flatnonzero(begins)
+            lowest, of_word = np.minimum.reduceat(rank, starts), np.cumsum(begins) - 1
+            if (done := lowest == NO_RANK).any():
+                leave = done[of_word]
+                ready, at = ids[leave].tolist(), 0
+                for w, n in zip(owner[starts[done]].tolist(), np.diff(np.r_[starts, len(ids)])[done].tolist()):
+                    out[w] = tuple(ready[at : at + n])
+                    at += n
+                ids, owner, rank = ids[~leave], owner[~leave], rank[~leave]
+                continue
+            hit = np.flatnonzero(rank == lowest[of_word])
+            hit = hit[np.r_[True, of_word[hit[1:]] != of_word[hit[:-1]]]]
+            ids[hit] = rank[hit]
+            stay = np.ones(len(ids), bool)
+            stay[hit + 1] = False
+            ids, owner, rank = ids[stay], owner[stay], rank[stay]
+            hit -= np.arange(len(hit))  # one token has gone for each word before
+            # Both pairs of a new token have changed.
+            left = np.r_[hit, hit[hit > 0] - 1]
+            inside = left[left + 1 < len(ids)]
+            rank[left] = NO_RANK
+            inside = inside[owner[inside] == owner[inside + 1]]
+            rank[inside] = self.join(ids[inside], ids[inside + 1])
+        return out
+
     def compatible(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """For each adjacent pair, whether BPE leaves the border between a and b alone."""
         result = np.ones(len(a), bool)
@@ -169,26 +226,31 @@ class Encoder:
     def __init__(self, ranks: dict[bytes, int], pattern: str = PATTERN):
         self.vocabulary, self.split = Vocabulary(ranks), regex.compile(pattern).findall
         self.known: dict[str, tuple[int, ...]] = {}
+        self.length: dict[str, int] = {}
         self.long: list[str] = []
         self.merged = 0
 
     def propose(self, word: bytes) -> list[int]:
         """Greedy longest match."""
-        ranks, lengths, out, i, n = self.vocabulary.ranks, self.vocabulary.lengths, [], 0, len(word)
+        rank_of, lengths_of, out, i, n = self.vocabulary.ranks.get, self.vocabulary.lengths.get, [], 0, len(word)
         while i < n:
-            for length in lengths.get(word[i : i + 2], (1,)):
-                rank = ranks.get(word[i : i + length]) if i + length <= n else None
-                if rank is not None:
+            for length in lengths_of(word[i : i + 3], ()):
+                if i + length <= n and (rank := rank_of(word[i : i + length])) is not None:
                     break
             else:
-                length, rank = 1, ranks[word[i : i + 1]]
+                length = 2
+                if (rank := rank_of(word[i : i + 2])) is None or i + 1 == n:
+                    length, rank = 1, rank_of(word[i : i + 1])
             out.append(rank)
             i += length
         return out
 
     def encode_words(self, words: list[str]) -> list[tuple[int, ...]]:
-        """Speculate on every word, verify all adjacent pairs together, merge what failed."""
+        """Speculate on every word, verify all adjacent pairs together, merge what failed; a few words don't repay the test and are merged."""
         raw = [w.encode("utf-8", "surrogatepass") for w in words]
+        if len(words) < FEW:
+            self.merged += len(words)
+            return [tuple(map(self.vocabulary.ranks.__getitem__, merge(w, self.vocabulary.ranks))) for w in raw]
         guesses = [self.propose(w) for w in raw]
         sizes = np.fromiter(map(len, guesses), np.int64, len(guesses))
         flat = np.fromiter(chain.from_iterable(guesses), np.int64, int(sizes.sum()))
@@ -197,9 +259,16 @@ class Encoder:
         wrong[owner[~self.vocabulary.own[flat]]] = True
         border = np.flatnonzero(owner[1:] == owner[:-1])
         wrong[owner[border[~self.vocabulary.compatible(flat[border], flat[border + 1])]]] = True
-        ranks = self.vocabulary.ranks
         self.merged += int(wrong.sum())
-        return [tuple(ranks[p] for p in merge(w, ranks)) if bad else tuple(g) for w, g, bad in zip(raw, guesses, wrong)]
+        out, ranks = list(map(tuple, guesses)), self.vocabulary.ranks
+        short, long = [], []
+        for i in np.flatnonzero(wrong).tolist():
+            (short if len(raw[i]) <= SHORT else long).append(i)
+        for i, ids in zip(short, self.vocabulary.merge_all([raw[i] for i in short])):
+            out[i] = ids
+        for i in long:
+            out[i] = tuple(ranks[p] for p in merge(raw[i], ranks))
+        return out
 
     def learn(self, texts: list[str | None], may_forget: bool = True) -> list[list[str]]:
         """The pre-tokens of each text (null and empty texts have none), all of them known afterwards.
@@ -208,24 +277,29 @@ class Encoder:
         """
         split = [self.split(t) if t else [] for t in texts]
         if may_forget and len(self.known) > REMEMBERED:
-            self.known = {}
+            self.known, self.length = {}, {}
         new = list(set(chain.from_iterable(split)).difference(self.known))
         if new:
-            self.known.update(zip(new, self.encode_words(new)))
+            ids = self.encode_words(new)
+            self.known.update(zip(new, ids))
+            self.length.update(zip(new, map(len, ids)))
             self.long += [w for w in new if len(w) > LONG_WORD]
         return split
 
     def sizes(self, words: list[str]) -> list[int]:
         """The number of tokens of each known word."""
-        return list(map(len, map(self.known.__getitem__, words)))
+        return list(map(self.length.__getitem__, words))
+
+    def counts(self, texts: list[str]) -> list[int]:
+        """The number of tokens of each text; forgets nothing."""
+        return [sum(self.sizes(words)) for words in self.learn(texts, may_forget=False)]
 
     def count(self, text: str) -> int:
-        """The number of tokens of a text; forgets nothing."""
-        return sum(self.sizes(self.learn([text], may_forget=False)[0]))
+        return self.counts([text])[0]
 
     def forget_long(self) -> None:
         for w in self.long:
-            self.known.pop(w, None)
+            self.known.pop(w, None), self.length.pop(w, None)
         self.long = []
 
     def encode_batch(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:

@@ -5,7 +5,7 @@ from collections import defaultdict
 
 import pytest
 
-from curlew.llm.splitting import breaks, split_documents
+from curlew.llm.splitting import breaks, pieces, split_documents
 from curlew.llm.tokenizer import Encoder, default_path, load_ranks
 
 CODER = Encoder(load_ranks(default_path()))
@@ -75,5 +75,20 @@ def test_nulls_repeats_and_empty(spark):
 
 def test_kinds_of_breaks():
     text = "A one. B two\nC\n\nD\n- e\nI: f"
-    assert {text[p:].split()[0]: k for p, k in breaks(text).items() if not text[p].isspace()} == {"C": 3, "D": 6, "-": 4, "I:": 5}
-    assert breaks("") == {} and breaks("none") == {}
+    assert {text[p:].split()[0]: k for k, p in sorted(zip(*breaks(text)[::-1])) if 0 < p < len(text) and not text[p].isspace()} == {"C": 3, "D": 6, "-": 4, "I:": 5}
+    assert breaks("") == ([], []) and breaks("none") == ([], [])
+
+
+@pytest.mark.parametrize("limit,overlap", [(8, 0), (64, 16)])
+def test_words_that_come_apart_keep_their_counts(spark, limit, overlap):
+    r = random.Random(4)
+    junk = ["".join(r.choice("xqzé語\U0001f600") for _ in range(700)) for _ in range(8)]
+    texts = ["'" * 900 + "re we", "!?'" * 500 + "s 'll", " " * 3000 + "x", "\n" * 2000 + "\t" * 900 + "y", "\ud800" * 300, *junk, " ".join(junk)]
+    coder = CODER
+    for text in texts:
+        words = coder.learn([text])[0]
+        at = 0
+        for start, end, tokens, _, _ in pieces(text, words, coder, limit, overlap):
+            assert tokens == coder.count(text[start:end]) <= limit and start <= at < end
+            at = end
+        assert at == len(text)
