@@ -313,6 +313,6 @@ SELECT 'project_types:' || key AS name, e.value IS NOT DISTINCT FROM o.value AS
 told AS (
   SELECT coalesce(lower(nullif(regexp_replace(l.file_type, '^ +$', ''), '')), nullif(lower(regexp_extract(l.file_name, '(?s)^[^.]*\\.(.*)$', 1)), ''), 'unknown') AS file_type,
     CASE WHEN regexp_matches(l.status, '(?i)^(ok|succeeded)$') THEN 'SUCCEEDED' WHEN regexp_matches(l.status, '(?i)login') THEN 'FAILED_LOGIN_REQUIRED' WHEN regexp_matches(l.status, '(?i)large') THEN 'FAILED_TOO_LARGE' ELSE 'FAILED_SERVER_UNRESPONSIVE' END AS status
-  FROM ledger l JOIN migrated m ON m.project_url = l.url WHERE regexp_matches(l.dataset_url, '^https?://.+/'))
+  FROM ledger l JOIN migrated m ON m.project_url = l.url)
 SELECT file_type, status, count(*) AS files FROM told GROUP BY ALL""",
 }

@@ -305,10 +305,5 @@ def l_migrated_projects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def l_migrated_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return delivery.migrate_ledger(_ledger(spark, sf_dir).where(F.col("dataset_url").rlike("^https?://.+/")))["files"].groupBy("file_type", "status").agg(F.count(F.lit(1)).alias("files"))
-
-
-@query
-def l_migrated_file_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As ``l_migrated_files``, over all rows of the ledger."""
+    """The files that the migration makes of the whole ledger, counted without fanning links out."""
     return delivery.migrated_file_counts(_ledger(spark, sf_dir))
