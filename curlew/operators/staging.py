@@ -9,28 +9,13 @@ from pyspark.sql import types as T
 from curlew.functions import text as X
 from curlew.operators.schema_drift import ingest
 
-# The names under which deliveries carry the staged fields.
-PROJECT_ALIASES = {
-    "title": ["project_title", "titel", "name"],
-    "description": ["summary", "omschrijving"],
-    "language": ["lang", "taal"],
-    "doi": ["pid", "persistent_id", "identifier"],
-    "project_url": ["dataset_url", "landing_page"],
-    "upload_date": ["uploaddate", "published_on"],
-    "download_date": ["fetched_at", "harvest_time"],
-    "project_type": ["type"],
-}
-FILE_ALIASES = {
-    "file_name": ["filename", "label"],
-    "file_type": ["ext", "extension"],
-    "file_url": ["download_url", "gdrive_url", "href"],
-    "local_path": ["zip_path"],
-    "file_size_bytes": ["size_bytes", "file_size", "size"],
-}
-
 
 def stage(rows: DataFrame, raw: str, aliases: dict[str, list[str]], key_fields: tuple[str, ...]) -> DataFrame:
-    """Key columns, one text column for each staged field (blank is null), and what remains as ``_rescued``."""
+    """Key columns, one text column for each staged field (blank is null), and what remains as ``_rescued``.
+
+    ``aliases`` are the configured names of each field, tried in order after its own;
+    where none are configured, ``schema_drift.consistent`` finds them by content.
+    """
     target = T.StructType([T.StructField(f, T.StringType()) for f in aliases])
     done = ingest(rows.select(*key_fields, raw), raw, target, aliases)
     return done.select(*key_fields, *[X.as_text(f).alias(f) for f in aliases], "_rescued")

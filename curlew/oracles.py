@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from curlew import vocab as V
-from curlew.operators.schema_drift import FILE_FIELDS, PROJECT_FIELDS
-from curlew.operators.staging import FILE_ALIASES, PROJECT_ALIASES
 from curlew.operators.timestamps import CASCADE, MONTHS, SUMMER_ZONE
 
 
@@ -131,11 +129,6 @@ def term_classes(source: str, key: str, text: str, legal, research, single: bool
     WHERE division IS NOT NULL)"""
 
 
-def staged(table: str, raw: str, key: str, fields: dict[str, list[str]], aliases: dict[str, list[str]]) -> str:
-    value = lambda f: f"coalesce({', '.join(f'json_extract_string({raw}, {chr(39)}$.{n}{chr(39)})' for n in [f, *aliases[f]])})"
-    return f"SELECT {key}, {', '.join(f'nullif({strip(value(f))}, {chr(39)}{chr(39)}) AS {n}' for f, n in fields.items())} FROM {table}"
-
-
 #: Terms that occur in the driver's texts; the stock lists of the classifier do not.
 LEGAL = ("court", "legal", "notary", "tribunal", "statute", "audit", "jury")
 RESEARCH = ("laboratory", "experiment", "research", "hypothesis", "microscope", "preprint")
@@ -152,22 +145,38 @@ migrated AS (
 PROVIDER = lambda c: f"CASE WHEN contains(lower({c}), 'faubox.rrze.uni-erlangen.de') THEN 'FAUBOX' WHEN contains(lower({c}), 'drive.google.com') THEN 'GOOGLE_DRIVE' WHEN contains(lower({c}), 'github.com') OR contains(lower({c}), 'raw.githubusercontent.com') THEN 'GITHUB' WHEN starts_with(lower({c}), 'https://') OR starts_with(lower({c}), 'http://') THEN 'WEB' WHEN contains({c}, '/') OR contains({c}, chr(92)) THEN 'LOCAL_OR_RELATIVE_PATH' ELSE 'UNKNOWN' END"
 ENDINGS = (".zip", ".pdf", ".txt", ".rtf", ".doc", ".docx", ".csv", ".xlsx", ".sav", ".dta", ".rdata", ".rds", ".qdpx", ".qdp", ".nvpx", ".nvp", ".atlproj", ".mx", ".mx20", ".mx22")
 
-def json_fields(table: str, raw: str, entity: str, staged: tuple[str, ...]) -> str:
-    """Profile of an entity's delivered fields: (entity, d, f, types, feeds)."""
-    same = ", ".join(f"sum((t.typed AND t.v IS NOT DISTINCT FROM t.{c} AND (t.f = '{c}' OR t.f NOT IN ({_list(staged)})))::INT) AS hit_{c}" for c in staged)
-    best = ", ".join(f"{{'n': -coalesce(hit_{c}, 0), 'c': '{c}'}}" for c in sorted(staged))
-    return f"""{entity}_rows AS (
-  SELECT source_database_id AS d, {raw} AS j, {', '.join(f'{c}::VARCHAR AS {c}' for c in staged)} FROM {table} WHERE source_database_id IS NOT NULL AND json_valid({raw}) AND json_type({raw}) = 'OBJECT'),
-{entity}_each AS (SELECT *, unnest(json_keys(j)) AS f FROM {entity}_rows),
-{entity}_typed AS (
-  SELECT *, json_extract_string(j, '$."' || f || '"') AS v, CASE json_type(j, '$."' || f || '"') WHEN 'VARCHAR' THEN 'string' WHEN 'UBIGINT' THEN 'integer' WHEN 'BIGINT' THEN 'integer' WHEN 'DOUBLE' THEN 'decimal' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'ARRAY' THEN 'array' WHEN 'OBJECT' THEN 'object' END AS k,
-    k IN ('string', 'integer', 'decimal', 'boolean') AS typed FROM {entity}_each),
-{entity}_sums AS (SELECT d, f, list_sort(list(DISTINCT k) FILTER (k IS NOT NULL)) AS types, count(k) AS filled, {same} FROM {entity}_typed t GROUP BY d, f),
-{entity}_fields AS (
+PROJECT_COLUMNS = "repository_id repository_url project_url query_string version title description language doi upload_date download_date download_method".split()
+FILE_COLUMNS = "file_name file_type status file_url local_path file_size_bytes".split()
+
+
+def json_fields(table: str, raw: str, entity: str, staged: list[str]) -> str:
+    """Profile of an entity's delivered fields (entity, d, f, types, feeds), and its rows and fields on the way."""
+    hits = ", ".join(f"count(*) FILTER (v IS NOT DISTINCT FROM {c} AND k IN ('string', 'integer', 'decimal', 'boolean') AND (f = '{c}' OR f NOT IN ({_list(staged)}))) AS hit_{c}" for c in staged)
+    best = ", ".join(f"{{'n': -hit_{c}, 'c': '{c}'}}" for c in sorted(staged))
+    return f"""{entity}_rows AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, source_database_id AS d, CASE WHEN json_valid({raw}) AND json_type({raw}) = 'OBJECT' THEN {raw}::JSON END AS j, {', '.join(f'{c}::VARCHAR AS {c}' for c in staged)} FROM {table}),
+{entity}_keys AS (SELECT *, unnest(json_keys(j)) AS f, unnest(range(len(json_keys(j))::INT)) AS i FROM {entity}_rows WHERE j IS NOT NULL),
+{entity}_each AS MATERIALIZED (
+  SELECT * EXCLUDE (j, x), x ->> '$' AS v, to_json(f)::VARCHAR || ':' || x::VARCHAR AS member,
+    CASE json_type(x) WHEN 'VARCHAR' THEN 'string' WHEN 'UBIGINT' THEN 'integer' WHEN 'BIGINT' THEN 'integer' WHEN 'DOUBLE' THEN 'decimal' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'ARRAY' THEN 'array' WHEN 'OBJECT' THEN 'object' END AS k
+  FROM (SELECT *, json_extract(j, '$."' || f || '"') AS x FROM {entity}_keys)),
+{entity}_sums AS MATERIALIZED (SELECT d, f, list_sort(list(DISTINCT k) FILTER (k IS NOT NULL)) AS types, count(k) AS filled, {hits} FROM {entity}_each WHERE d IS NOT NULL GROUP BY d, f),
+{entity}_fields AS MATERIALIZED (
   SELECT '{entity}' AS entity, d, f, CASE WHEN list_contains(types, 'decimal') THEN list_filter(types, lambda x: x <> 'integer') ELSE types END AS types,
     list_sort(list_filter([{best}], lambda x: -x.n >= 0.9 * filled AND x.n < 0))[1].c AS feeds FROM {entity}_sums)"""
 
 
+def consistent_rows(table: str, raw: str, entity: str, key: str, staged: list[str]) -> str:
+    """The staged columns as the staging tables have them, and the members of the raw object that feed none of them."""
+    return f"""WITH {json_fields(table, raw, entity, staged)},
+own AS (SELECT r, f AS t FROM {entity}_each WHERE f IN ({_list(staged)}) AND k IS NOT NULL),
+alias AS (SELECT e.r, p.feeds AS t, min(e.f) AS f FROM {entity}_each e JOIN {entity}_fields p ON p.d = e.d AND p.f = e.f AND p.feeds <> p.f WHERE e.k IS NOT NULL AND (e.r, p.feeds) NOT IN (SELECT (r, t) FROM own) GROUP BY 1, 2),
+took AS (SELECT r, t AS f FROM own UNION ALL SELECT r, f FROM alias),
+kept AS (SELECT e.r, '{{' || string_agg(member, ',' ORDER BY i) || '}}' AS rescued FROM {entity}_each e LEFT JOIN took USING (r, f) WHERE took.f IS NULL GROUP BY 1)
+SELECT s.{key}, s.source_database_id, {', '.join(f's.{c}' for c in staged)}, CASE WHEN j IS NULL AND {raw} IS NOT NULL THEN to_json({{'_malformed': {raw}}})::VARCHAR ELSE rescued END AS _rescued
+FROM (SELECT *, row_number() OVER () AS r FROM {table}) s JOIN {entity}_rows USING (r) LEFT JOIN kept USING (r)"""
+
+
 def timestamps(fields: tuple[str, ...] = ("upload_date", "download_date")) -> str:
     """The cascade's patterns in RE2's spelling; zones and clock changes by the database's own calendar."""
 
@@ -205,19 +214,18 @@ SELECT DISTINCT project_uid, field_name, CASE
 FROM placed WHERE utc_us IS NOT NULL"""
 
 
-PROJECTS, FILES_STAGED = json_fields("stg_projects", "raw_project_json", "project", PROJECT_FIELDS), json_fields("stg_files", "raw_file_json", "file", FILE_FIELDS)
-DRIFT = f"""WITH {PROJECTS}, {FILES_STAGED},
+DRIFT = f"""WITH {json_fields("stg_projects", "raw_project_json", "project", PROJECT_COLUMNS)}, {json_fields("stg_files", "raw_file_json", "file", FILE_COLUMNS)},
 named AS (
   SELECT source_database_id AS d, lower(trim(unnest(string_split(source_schema_signature, '|')))) AS f, NULL AS feeds FROM source_databases
   UNION ALL SELECT DISTINCT source_database_id, lower(trim(source_table_name)), 'project' FROM stg_projects UNION ALL SELECT DISTINCT source_database_id, lower(trim(source_table_name)), 'file' FROM stg_files),
-profile AS (
+profile AS MATERIALIZED (
   SELECT * FROM project_fields UNION ALL SELECT * FROM file_fields
   UNION ALL SELECT 'table', d, f, []::VARCHAR[], max(feeds) FROM named WHERE f <> '' AND d IS NOT NULL GROUP BY d, f),
-steps AS (SELECT lag(source_database_id) OVER (PARTITION BY source_student_id ORDER BY registered_at_utc, source_database_id) AS d0, source_database_id AS d1 FROM source_databases WHERE source_student_id IS NOT NULL),
-pairs AS (SELECT DISTINCT s.d0, s.d1, a.entity FROM steps s JOIN profile a ON a.d = s.d0 JOIN profile b ON b.d = s.d1 AND b.entity = a.entity),
-gone AS (SELECT p.d1, a.* FROM pairs p JOIN profile a ON a.d = p.d0 AND a.entity = p.entity WHERE NOT EXISTS (SELECT 1 FROM profile b WHERE b.d = p.d1 AND b.entity = a.entity AND b.f = a.f)),
-come AS (SELECT p.d1, b.* FROM pairs p JOIN profile b ON b.d = p.d1 AND b.entity = p.entity WHERE NOT EXISTS (SELECT 1 FROM profile a WHERE a.d = p.d0 AND a.entity = b.entity AND a.f = b.f)),
-moved AS (SELECT g.d1, g.entity, g.f AS f0, c.f AS f1 FROM gone g JOIN come c ON c.d1 = g.d1 AND c.entity = g.entity AND c.feeds = g.feeds)
+steps AS MATERIALIZED (SELECT lag(source_database_id) OVER (PARTITION BY source_student_id ORDER BY registered_at_utc, source_database_id) AS d0, source_database_id AS d1 FROM source_databases WHERE source_student_id IS NOT NULL),
+pairs AS MATERIALIZED (SELECT DISTINCT s.d0, s.d1, a.entity FROM steps s JOIN profile a ON a.d = s.d0 JOIN profile b ON b.d = s.d1 AND b.entity = a.entity),
+gone AS MATERIALIZED (SELECT p.d1, a.*, row_number() OVER (PARTITION BY p.d1, a.entity, a.feeds ORDER BY a.f) AS nth FROM pairs p JOIN profile a ON a.d = p.d0 AND a.entity = p.entity WHERE NOT EXISTS (SELECT 1 FROM profile b WHERE b.d = p.d1 AND b.entity = a.entity AND b.f = a.f)),
+come AS MATERIALIZED (SELECT p.d1, b.*, row_number() OVER (PARTITION BY p.d1, b.entity, b.feeds ORDER BY b.f) AS nth FROM pairs p JOIN profile b ON b.d = p.d1 AND b.entity = p.entity WHERE NOT EXISTS (SELECT 1 FROM profile a WHERE a.d = p.d0 AND a.entity = b.entity AND a.f = b.f)),
+moved AS MATERIALIZED (SELECT g.d1, g.entity, g.f AS f0, c.f AS f1 FROM gone g JOIN come c ON c.d1 = g.d1 AND c.entity = g.entity AND c.feeds = g.feeds AND c.nth = g.nth)
 SELECT d1 AS source_database_id, entity, 'renamed' AS change_kind, f0 AS field_before, f1 AS field_after FROM moved
 UNION ALL SELECT d1, entity, 'removed', f, '' FROM gone g WHERE NOT EXISTS (SELECT 1 FROM moved m WHERE m.d1 = g.d1 AND m.entity = g.entity AND m.f0 = g.f)
 UNION ALL SELECT d1, entity, 'added', '', f FROM come c WHERE NOT EXISTS (SELECT 1 FROM moved m WHERE m.d1 = c.d1 AND m.entity = c.entity AND m.f1 = c.f)
@@ -226,8 +234,10 @@ UNION ALL SELECT p.d1, a.entity, 'type_changed', a.f, a.f FROM pairs p JOIN prof
 ORACLES: dict[str, str] = {
     "p2_found": timestamps(),
     "p4_found": DRIFT,
-    "s_staged_projects": staged("stg_projects", "raw_project_json", "project_uid", {f: f for f in ("title", "language", "doi", "project_url", "upload_date")}, PROJECT_ALIASES),
-    "s_staged_files": f"SELECT file_uid, file_name, file_type, try_cast(size AS DOUBLE)::BIGINT AS size_bytes FROM ({staged('stg_files', 'raw_file_json', 'file_uid', {'file_name': 'file_name', 'file_type': 'file_type', 'file_size_bytes': 'size'}, FILE_ALIASES)})",
+    "p4_projects": consistent_rows("stg_projects", "raw_project_json", "project", "project_uid", PROJECT_COLUMNS),
+    "p4_files": consistent_rows("stg_files", "raw_file_json", "file", "file_uid", FILE_COLUMNS),
+    "s_staged_projects": "SELECT project_uid, " + ", ".join(f"nullif({strip(c)}, '') AS {c}" for c in ("title", "language", "doi", "project_url", "upload_date")) + " FROM stg_projects",
+    "s_staged_files": f"SELECT file_uid, nullif({strip('file_name')}, '') AS file_name, nullif({strip('file_type')}, '') AS file_type, file_size_bytes AS size_bytes FROM stg_files",
     "s_schema_signatures": "SELECT array_to_string(list_sort(list_transform(string_split(source_schema_signature, '|'), lambda t: lower(trim(t)))), '|') AS signature, count(*) AS databases FROM source_databases GROUP BY 1",
     "j_reference_issues": f"""
 WITH f AS (SELECT source_database_id, nullif({strip('source_file_id')}, '') AS fid, nullif({strip('project_uid')}, '') AS pid, project_uid FROM stg_files),

@@ -44,31 +44,37 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drift_report(*_tables(spark, sf_dir, "source_databases", "stg_projects", "stg_files"))
 
 
-@query
-def p4_projects(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _consistent_projects(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = T.StructType([T.StructField(f, T.StringType()) for f in PROJECT_FIELDS])
     return consistent(table(spark, sf_dir, "stg_projects"), "raw_project_json", target, ("project_uid",))
 
 
-@query
-def p4_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _consistent_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = T.StructType([T.StructField(f, T.LongType() if f == "file_size_bytes" else T.StringType()) for f in FILE_FIELDS])
     return consistent(table(spark, sf_dir, "stg_files"), "raw_file_json", target, ("file_uid",))
 
 
+@query
+def p4_projects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _consistent_projects(spark, sf_dir)
+
+
+@query
+def p4_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _consistent_files(spark, sf_dir)
+
+
 # Staging: projections, references, audits.
 
 
 @query
 def s_staged_projects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    staged = staging.stage(table(spark, sf_dir, "stg_projects"), "raw_project_json", staging.PROJECT_ALIASES, ("project_uid",))
-    return staged.select("project_uid", "title", "language", "doi", "project_url", "upload_date")
+    return _consistent_projects(spark, sf_dir).select("project_uid", *[X.as_text(c).alias(c) for c in ("title", "language", "doi", "project_url", "upload_date")])
 
 
 @query
 def s_staged_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    staged = staging.stage(table(spark, sf_dir, "stg_files"), "raw_file_json", staging.FILE_ALIASES, ("file_uid",))
-    return staged.select("file_uid", "file_name", "file_type", X.optional_int("file_size_bytes").alias("size_bytes"))
+    return _consistent_files(spark, sf_dir).select("file_uid", X.as_text("file_name").alias("file_name"), X.as_text("file_type").alias("file_type"), F.col("file_size_bytes").alias("size_bytes"))
 
 
 @query

@@ -124,7 +124,7 @@ def test_staging_issues_and_audit(spark):
     audit = {r["source_database_id"]: tuple(r)[1:] for r in staging.import_audit(projects, files, sources).collect()}
     assert audit[1] == (1, 1, 2, 1, "COMPLETED") and audit[4] == (0, 0, 0, 0, "COMPLETED") and audit[3][4] == "FAILED"
     raw = spark.createDataFrame([("k", '{"titel": " x ", "taal": "nl", "more": 1}'), ("n", None)], "project_uid string, raw string")
-    staged = {r["project_uid"]: r for r in staging.stage(raw, "raw", staging.PROJECT_ALIASES, ("project_uid",)).collect()}
+    staged = {r["project_uid"]: r for r in staging.stage(raw, "raw", {"title": ["project_title", "titel"], "language": ["lang", "taal"]}, ("project_uid",)).collect()}
     assert (staged["k"]["title"], staged["k"]["language"], staged["k"]["_rescued"]) == ("x", "nl", '{"more":1}') and staged["n"]["title"] is None
     assert staging.repeated_keys(files, "file_uid").collect()[0]["copies"] == 2
 

@@ -3,9 +3,10 @@
 import json
 from datetime import datetime
 
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from curlew.operators.schema_drift import FILE_FIELDS, PROJECT_FIELDS, drift_report, ingest, promote
+from curlew.operators.schema_drift import FILE_FIELDS, PROJECT_FIELDS, consistent, drift_report, ingest, promote
 
 DATABASES = "source_database_id long, source_student_id string, source_schema_signature string, registered_at_utc timestamp"
 
@@ -72,3 +73,29 @@ def test_rescue_and_promotion(spark):
     assert promoted[0]["rating"] == 4.5 and json.loads(promoted[0]["_rescued"]) == {"odd": [1]}
     assert promoted[1]["rating"] is None and json.loads(promoted[1]["_rescued"])["rating"] == "bad"
     assert promoted[0]["title"] == "a"
+
+
+def test_a_name_is_approved_for_each_delivery_on_its_own(spark):
+    """``label`` feeds the title in one delivery and the doi in another, and a third has it without any staged column's content."""
+    rows = projects_of(spark, [
+        (1, "p", {"title": "t1", "doi": "d1"}, json.dumps({"label": "t1", "doi": "d1"})), (1, "p", {"title": "t2"}, json.dumps({"label": "t2", "doi": None})),
+        (2, "p", {"title": "t3", "doi": "d3"}, json.dumps({"title": "t3", "label": "d3"})), (2, "p", {"title": "t4", "doi": "d4"}, json.dumps({"title": "t4", "doi": "d4", "label": "old"})),
+        *[(2, "p", {"doi": f"e{i}"}, json.dumps({"label": f"e{i}"})) for i in range(20)],
+        (3, "p", {"title": "t5"}, json.dumps({"title": "t5", "label": "other"})), (3, "p", {}, None), (3, "p", {}, "no json"), (None, "p", {"title": "t6"}, json.dumps({"label": "t6"})),
+    ]).withColumn("_rescued", F.lit("clash"))
+    target = T.StructType([T.StructField(c, T.StringType()) for c in PROJECT_FIELDS])
+    found = {(r["source_database_id"], r["title"], r["doi"], r["_rescued"]) for r in consistent(rows, "raw_project_json", target, ("source_table_name",)).collect()}
+    assert {x for x in found if x[0] != 2} == {
+        (1, "t1", "d1", None), (1, "t2", None, '{"doi":null}'), (3, "t5", None, '{"label":"other"}'), (3, None, None, None), (3, None, None, '{"_malformed":"no json"}'), (None, None, None, '{"label":"t6"}'),
+    }
+    assert {x for x in found if x[0] == 2} == {(2, "t3", "d3", None), (2, "t4", "d4", '{"label":"old"}'), *[(2, None, f"e{i}", None) for i in range(20)]}
+
+
+def test_each_new_field_takes_the_place_of_one(spark):
+    projects = projects_of(spark, [
+        (7, "p", {"title": "t"}, json.dumps({"a": "t", "b": "t"})),
+        (3, "p", {"title": "u"}, json.dumps({"c": "u"})),
+        (9, "p", {"title": "v"}, json.dumps({"d": "v", "e": "v", "f": "v"})),
+    ])
+    found = {tuple(r) for r in drift_report(databases_of(spark), projects, files_of(spark, [])).where("entity = 'project'").collect()}
+    assert found == {(3, "project", "renamed", "a", "c"), (3, "project", "removed", "b", ""), (9, "project", "renamed", "c", "d"), (9, "project", "added", "", "e"), (9, "project", "added", "", "f")}
