@@ -16,6 +16,14 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(table(spark, sf_dir, "stg_projects"))
 
 
+def p1_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicate_classes(table(spark, sf_dir, "stg_projects"))[0]
+
+
+def p1_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicate_classes(table(spark, sf_dir, "stg_projects"))[1]
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return survivors.survivors(table(spark, sf_dir, "duplicate_cluster_members"), table(spark, sf_dir, "deduplication_decisions"), table(spark, sf_dir, "stg_projects"))
 
@@ -49,7 +57,7 @@ def p9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return splitting.split_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p3_found, p3_truth, p5_found, p5_copies, p6_found, p7_ids, p8_containers, p9_pieces)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p1_members, p1_links, p3_found, p3_truth, p5_found, p5_copies, p6_found, p7_ids, p8_containers, p9_pieces)}
 
 _STOCK = ", ".join("'" + s.replace("'", "''") + "'" for s in survivors.STOCK)
 _STOCK_PATTERN = "^(" + "|".join(survivors.STOCK_PATTERNS) + ")$"
@@ -70,7 +78,27 @@ bare AS (
   FROM cut),
 keyed AS (SELECT project_uid, least(a, b) AS lo, greatest(a, b) AS hi FROM bare WHERE a <> '' AND b <> '')"""
 
+# Brute force over an inverted index of (word, occurrence).
+_WORDS = r"""
+WITH told AS (
+  SELECT project_uid, regexp_extract_all(lower(description), '[\p{L}\p{N}]+') AS d, coalesce(regexp_extract_all(lower(title), '[\p{L}\p{N}]+'), []) AS t FROM stg_projects WHERE project_uid IS NOT NULL AND description IS NOT NULL),
+texts AS MATERIALIZED (SELECT DISTINCT project_uid AS uid, list_sort(t || d) AS words, len(t) + len(d) AS n FROM told WHERE len(d) >= 30),
+classes AS MATERIALIZED (SELECT row_number() OVER () AS id, min(uid) AS class_key, count(*) AS copies, words, any_value(n) AS n FROM texts GROUP BY words),
+each AS (SELECT id, n, unnest(words) AS w FROM classes),
+placed AS MATERIALIZED (SELECT id, n, w, row_number() OVER (PARTITION BY id, w) AS k FROM each),
+links AS MATERIALIZED (
+  SELECT a.id AS a, b.id AS b, count(*) / greatest(any_value(a.n), any_value(b.n)) AS agreement
+  FROM placed a JOIN placed b ON a.w = b.w AND a.k = b.k AND a.id < b.id AND least(a.n, b.n) >= 0.75 * greatest(a.n, b.n) GROUP BY 1, 2 HAVING count(*) >= 0.75 * greatest(any_value(a.n), any_value(b.n))),
+member AS MATERIALIZED (SELECT uid, id, class_key, c.copies FROM texts JOIN classes c USING (words))"""
+
 ORACLES: dict[str, str] = {
+    "p1_found": _WORDS + """,
+pairs AS (
+  SELECT x.uid AS u, y.uid AS v FROM links l JOIN member x ON x.id = l.a JOIN member y ON y.id = l.b
+  UNION ALL SELECT x.uid, y.uid FROM member x JOIN member y ON x.id = y.id AND x.uid < y.uid)
+SELECT DISTINCT least(u, v) AS project_uid_a, greatest(u, v) AS project_uid_b FROM pairs""",
+    "p1_members": _WORDS + " SELECT uid AS project_uid, class_key, copies FROM member",
+    "p1_links": _WORDS + " SELECT least(x.class_key, y.class_key) AS class_key_a, greatest(x.class_key, y.class_key) AS class_key_b, agreement FROM links l JOIN classes x ON x.id = l.a JOIN classes y ON y.id = l.b",
     "p3_found": rf"""
 WITH scored AS (
   SELECT project_uid, arg_max(canonical_score, (decided_at_utc, decision_id)) AS score

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from curlew.llm import sketch as S
-from curlew.llm.near_duplicates import agreement, near_duplicates, words_of
+from curlew.llm.near_duplicates import agreement, near_duplicate_classes, near_duplicates, words_of
 
 SCHEMA = "project_uid string, title string, description string, band long, id string, words string"
 
@@ -121,3 +121,34 @@ def test_only_identical_texts_of_large_classes_become_stars(spark):
     assert pairs(near_duplicates(frame(spark, rows), expand=5)) == brute(rows)
     copies = [(f"r{i}", "t", " ".join(words)) for i in range(3)]
     assert pairs(near_duplicates(frame(spark, rows + copies), expand=5)) == brute(rows) | {("p0", f"r{i}") for i in range(3)}
+
+
+@pytest.mark.parametrize("frequent", [True, False])
+def test_pairs_at_the_threshold_whose_edits_are_rare(spark, frequent):
+    """Thirty shared words, frequent or not, and ten own ones: agreement is 0.75 exactly."""
+    r = random.Random(6)
+    rare = lambda: f"x{r.randrange(10**9)}"
+    common = [f"c{i}" for i in range(60)]
+    rows, true = [(f"f{i}", None, " ".join(r.choice(common) if r.random() < 0.7 else rare() for _ in range(40))) for i in range(400)], set()
+    for i in range(300):
+        shared = [r.choice(common) if frequent else rare() for _ in range(30)]
+        for n in "ab":
+            own = shared + [rare() for _ in range(10)]
+            r.shuffle(own)
+            rows.append((f"{n}{i:03}", None, " ".join(own)))
+        true.add((f"a{i:03}", f"b{i:03}"))
+    assert len(true & pairs(near_duplicates(frame(spark, rows)))) >= 0.99 * len(true)
+
+
+def test_classes_and_links_hold_every_pair(spark):
+    rows = corpus(seed=5, groups=30)
+    rows += [(f"copy{i}", t, d) for i, (_, t, d) in enumerate(rows[:10])] + [("n", None, None)]
+    members, links = near_duplicate_classes(frame(spark, rows), bands=160, band_rows=1)
+    assert members.columns == ["project_uid", "class_key", "copies"] and links.columns == ["class_key_a", "class_key_b", "agreement"]
+    of = {}
+    for uid, c, n in members.collect():
+        of.setdefault(c, []).append((uid, n))
+    assert all(c == min(u for u, _ in m) and all(n == len(m) for _, n in m) for c, m in of.items())
+    joined = [(a, b) for x, y, _ in links.collect() for a, _ in of[x] for b, _ in of[y]]
+    within = [(a, b) for m in of.values() for a, _ in m for b, _ in m if a < b]
+    assert {(min(p), max(p)) for p in joined} | set(within) == brute(rows)
