@@ -154,19 +154,41 @@ def needed(size: int, least: float) -> int:
     return max(1, math.ceil(size * least - 1e-9))
 
 
-def joined(keyed: DataFrame, least: float) -> DataFrame:
+def joined(keyed: DataFrame, least: float, block: int) -> DataFrame:
     """(a, b): ids that share a key (id, size, s0..s7, key), without pairs whose sizes or signatures rule agreement out.
 
-    A bit that only one of the two has stands for at least one word of its own.
+    A bit that only one of the two has stands for at least one word of its own. Keys
+    of over ``block`` rows are cut into blocks of about that many, by size and at
+    random, and each pair of blocks whose sizes allow agreement is a join key of its
+    own, so the pairs of one key are shared out over all tasks.
     """
-    a, b = (keyed.select("key", *[F.col(c).alias(f"{c}_{n}") for c in ("id", "size", *SIGNATURE)]) for n in "ab")
+    step = math.log(1 / least) + 1e-6  # sizes that allow agreement lie in the same or in neighbouring classes
+    keyed = keyed.withColumn("z", F.floor(F.log(F.greatest(F.lit(1), F.col("size"))) / step).cast("int"))
+    counts = keyed.groupBy("key", "z").agg(F.count(F.lit(1)).alias("n"))
+    large = counts.groupBy("key").agg(F.sum("n").alias("n"), F.map_from_entries(F.collect_list(F.struct("z", F.ceil(F.col("n") / block).cast("int").alias("salts")))).alias("salts"))
+    large = materialize(large.where(F.col("n") > block).select("key", "salts"), "large-keys")  # an entry for each size class
+
+    cut = keyed.join(large, "key").withColumn("t", F.pmod(F.xxhash64("id"), F.element_at("salts", F.col("z"))).cast("int"))
+    cell = lambda *x: F.struct(*[c.cast("int").alias(n) for c, n in zip(x, ("z0", "t0", "z1", "t1"))])
+    salts = lambda z: F.sequence(F.lit(0), F.try_element_at("salts", z) - 1)
+    none = F.array().cast("array<struct<z0:int,t0:int,z1:int,t1:int>>")
+    z, t = F.col("z"), F.col("t")
+    above = F.concat(F.transform(F.filter(salts(z), lambda u: u >= t), lambda u: cell(z, t, z, u)), F.coalesce(F.transform(salts(z + 1), lambda u: cell(z, t, z + 1, u)), none))
+    below = F.concat(F.transform(F.filter(salts(z), lambda u: u <= t), lambda u: cell(z, u, z, t)), F.coalesce(F.transform(salts(z - 1), lambda u: cell(z - 1, u, z, t)), none))
+    whole = keyed.join(large, "key", "left_anti")
+    side = lambda df, n, *keys: df.select(*keys, *[F.col(c).alias(f"{c}_{n}") for c in ("id", "size", *SIGNATURE)])
     common = F.ceil(F.greatest("size_a", "size_b") * F.lit(least) - F.lit(1e-9))
     own = lambda x, y: sum(F.bit_count(F.col(f"{c}_{x}").bitwiseAND(F.bitwise_not(F.col(f"{c}_{y}")))) for c in SIGNATURE)
-    may = (F.col("id_a") < F.col("id_b")) & (F.least("size_a", "size_b") >= common) & (own("a", "b") <= F.col("size_a") - common) & (own("b", "a") <= F.col("size_b") - common)
-    return a.join(b, "key").where(may).select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
+    may = (F.least("size_a", "size_b") >= common) & (own("a", "b") <= F.col("size_a") - common) & (own("b", "a") <= F.col("size_b") - common)
+    same = (F.col("cell.z0") == F.col("cell.z1")) & (F.col("cell.t0") == F.col("cell.t1"))
+    small = side(whole, "a", "key").join(side(whole, "b", "key"), "key").where((F.col("id_a") < F.col("id_b")) & may)
+    halves = [side(cut.withColumn("cell", F.explode(cells)), n, "key", "cell") for n, cells in (("a", above), ("b", below))]
+    split = halves[0].join(halves[1], ["key", "cell"]).where((~same | (F.col("id_a") < F.col("id_b"))) & may)
+    ends = [F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")]
+    return small.select(*ends).unionByName(split.select(*ends))
 
 
-def candidates(made: DataFrame, classes: DataFrame, least: float, max_weight: int, hot: int) -> DataFrame:
+def candidates(made: DataFrame, classes: DataFrame, least: float, max_weight: int, hot: int, block: int) -> DataFrame:
     """(a, b): ids that share a band and may agree; bands of over ``hot`` classes are replaced by the rarest words of these classes if that makes fewer pairs."""
     keyed = lambda df: df.select("id", "size", *SIGNATURE, F.explode("keys").alias("key"))
     bands = keyed(made)
@@ -174,12 +196,12 @@ def candidates(made: DataFrame, classes: DataFrame, least: float, max_weight: in
     pairs_of = lambda df: df.agg(F.sum(F.col("n") * (F.col("n") - 1.0))).first()[0] or 0
     large = materialize(of_key(bands).where(F.col("n") > hot), "large")
     if not (most := pairs_of(large)):
-        return joined(bands, least).distinct()
+        return joined(bands, least, block).distinct()
     some = materialize(classes.join(bands.join(large, "key", "left_semi").select("id").distinct(), "id", "left_semi"), "some")
     rarest = keyed(prefixes(some, word_weights(some, max_weight), max_weight, least))
     if pairs_of(of_key(rarest)) >= most:
-        return joined(bands, least).distinct()
-    return joined(bands.join(large, "key", "left_anti"), least).unionByName(joined(rarest, least)).distinct()
+        return joined(bands, least, block).distinct()
+    return joined(bands.join(large, "key", "left_anti"), least, block).unionByName(joined(rarest, least, block)).distinct()
 
 
 def verified(pairs: DataFrame, classes: DataFrame, least: float) -> DataFrame:
@@ -204,9 +226,9 @@ class Linked(NamedTuple):
     links: DataFrame
 
 
-def linked(rows: DataFrame, key: str, title: str, description: str, min_words: int, least: float, bands: int, band_rows: int, max_weight: int, hot: int) -> Linked:
+def linked(rows: DataFrame, key: str, title: str, description: str, min_words: int, least: float, bands: int, band_rows: int, max_weight: int, hot: int, block: int) -> Linked:
     members, classes = text_classes(rows, key, title, description, min_words)
-    near = candidates(sketches(classes, bands, band_rows), classes, least, max_weight, hot)
+    near = candidates(sketches(classes, bands, band_rows), classes, least, max_weight, hot, block)
     return Linked(members, classes, materialize(verified(materialize(near, "candidates"), classes, least), "found"))
 
 
@@ -221,6 +243,7 @@ def near_duplicate_classes(
     band_rows: int = 4,
     max_weight: int = 10,
     hot: int = 10_000,
+    block: int = 2000,
 ) -> tuple[DataFrame, DataFrame]:
     """((key, class_key, copies), (class_key_a, class_key_b, agreement)): membership, and every link between classes.
 
@@ -229,7 +252,7 @@ def near_duplicate_classes(
     membership rows, and one row for each of its links. Records that take no part
     (see ``near_duplicates``) have no class.
     """
-    members, classes, links = linked(rows, key, title, description, min_words, least, bands, band_rows, max_weight, hot)
+    members, classes, links = linked(rows, key, title, description, min_words, least, bands, band_rows, max_weight, hot, block)
     of_text = classes.select("text_key", F.col("rep").alias("class_key"))
     belonging = members.select("text_key", "key").distinct().join(of_text, "text_key")
     sizes = belonging.groupBy("class_key").agg(F.count(F.lit(1)).alias("copies"))
@@ -249,6 +272,7 @@ def near_duplicates(
     band_rows: int = 4,
     max_weight: int = 10,
     hot: int = 10_000,
+    block: int = 2000,
     expand: int = 1000,
 ) -> DataFrame:
     """(key_a, key_b): every pair of records that agree, the smaller key first.
@@ -262,7 +286,7 @@ def near_duplicates(
     in links to all other texts, those of the class included. ``near_duplicate_classes``
     has the same links in one form at any size.
     """
-    members, classes, links = linked(rows, key, title, description, min_words, least, bands, band_rows, max_weight, hot)
+    members, classes, links = linked(rows, key, title, description, min_words, least, bands, band_rows, max_weight, hot, block)
     found = links.select("a", "b")
     sizes = classes.select("id", "text_key", "rep", "n")
     large = members.join(sizes.where(F.col("n") > expand).select("text_key", "id"), "text_key")

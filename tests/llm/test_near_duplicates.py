@@ -115,6 +115,13 @@ def test_filters_lose_no_pair(spark):
     assert pairs(near_duplicates(frame(spark, rows), bands=160, band_rows=1, hot=1)) == true
 
 
+@pytest.mark.parametrize("block", [2, 7])
+def test_large_keys_in_blocks_lose_no_pair(spark, block):
+    rows = corpus(seed=4) + templates(48, 16, 60)
+    assert pairs(near_duplicates(frame(spark, rows), bands=160, band_rows=1, block=block)) == brute(rows)
+    assert pairs(near_duplicates(frame(spark, rows), bands=160, band_rows=1, block=block, hot=1)) == brute(rows)
+
+
 def test_only_identical_texts_of_large_classes_become_stars(spark):
     words = [f"word{i}" for i in range(40)]
     rows = [(f"p{i}", "t", " ".join(words[i:] + words[:i])) for i in range(8)] + [("q", "t", " ".join(words) + " more")]
