@@ -154,7 +154,12 @@ def needed(size: int, least: float) -> int:
     return max(1, math.ceil(size * least - 1e-9))
 
 
-def joined(keyed: DataFrame, least: float, block: int) -> DataFrame:
+def key_counts(keyed: DataFrame, over: int) -> DataFrame:
+    """(key, n) of the keys that more than ``over`` rows share."""
+    return materialize(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > over), "key-counts")
+
+
+def joined(keyed: DataFrame, counts: DataFrame, least: float, block: int) -> DataFrame:
     """(a, b): ids that share a key (id, size, s0..s7, key), without pairs whose sizes or signatures rule agreement out.
 
     A bit that only one of the two has stands for at least one word of its own. Keys
@@ -163,19 +168,19 @@ def joined(keyed: DataFrame, least: float, block: int) -> DataFrame:
     own, so the pairs of one key are shared out over all tasks.
     """
     step = math.log(1 / least) + 1e-6  # sizes that allow agreement lie in the same or in neighbouring classes
-    keyed = keyed.withColumn("z", F.floor(F.log(F.greatest(F.lit(1), F.col("size"))) / step).cast("int"))
-    counts = keyed.groupBy("key", "z").agg(F.count(F.lit(1)).alias("n"))
-    large = counts.groupBy("key").agg(F.sum("n").alias("n"), F.map_from_entries(F.collect_list(F.struct("z", F.ceil(F.col("n") / block).cast("int").alias("salts")))).alias("salts"))
-    large = materialize(large.where(F.col("n") > block).select("key", "salts"), "large-keys")  # an entry for each size class
+    big = counts.where(F.col("n") > block).select("key")
+    parts = keyed.join(big, "key", "left_semi").withColumn("z", F.floor(F.log(F.greatest(F.lit(1), F.col("size"))) / step).cast("int"))
+    sizes = parts.groupBy("key", "z").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("salts"))
+    large = materialize(sizes.groupBy("key").agg(F.map_from_entries(F.collect_list(F.struct("z", "salts"))).alias("salts")), "large-keys")  # an entry for each size class
 
-    cut = keyed.join(large, "key").withColumn("t", F.pmod(F.xxhash64("id"), F.element_at("salts", F.col("z"))).cast("int"))
+    cut = parts.join(large, "key").withColumn("t", F.pmod(F.xxhash64("id"), F.element_at("salts", F.col("z"))).cast("int"))
     cell = lambda *x: F.struct(*[c.cast("int").alias(n) for c, n in zip(x, ("z0", "t0", "z1", "t1"))])
     salts = lambda z: F.sequence(F.lit(0), F.try_element_at("salts", z) - 1)
     none = F.array().cast("array<struct<z0:int,t0:int,z1:int,t1:int>>")
     z, t = F.col("z"), F.col("t")
     above = F.concat(F.transform(F.filter(salts(z), lambda u: u >= t), lambda u: cell(z, t, z, u)), F.coalesce(F.transform(salts(z + 1), lambda u: cell(z, t, z + 1, u)), none))
     below = F.concat(F.transform(F.filter(salts(z), lambda u: u <= t), lambda u: cell(z, u, z, t)), F.coalesce(F.transform(salts(z - 1), lambda u: cell(z - 1, u, z, t)), none))
-    whole = keyed.join(large, "key", "left_anti")
+    whole = keyed.join(big, "key", "left_anti")
     side = lambda df, n, *keys: df.select(*keys, *[F.col(c).alias(f"{c}_{n}") for c in ("id", "size", *SIGNATURE)])
     common = F.ceil(F.greatest("size_a", "size_b") * F.lit(least) - F.lit(1e-9))
     own = lambda x, y: sum(F.bit_count(F.col(f"{c}_{x}").bitwiseAND(F.bitwise_not(F.col(f"{c}_{y}")))) for c in SIGNATURE)
@@ -192,16 +197,17 @@ def candidates(made: DataFrame, classes: DataFrame, least: float, max_weight: in
     """(a, b): ids that share a band and may agree; bands of over ``hot`` classes are replaced by the rarest words of these classes if that makes fewer pairs."""
     keyed = lambda df: df.select("id", "size", *SIGNATURE, F.explode("keys").alias("key"))
     bands = keyed(made)
-    of_key = lambda df: df.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-    pairs_of = lambda df: df.agg(F.sum(F.col("n") * (F.col("n") - 1.0))).first()[0] or 0
-    large = materialize(of_key(bands).where(F.col("n") > hot), "large")
-    if not (most := pairs_of(large)):
-        return joined(bands, least, block).distinct()
+    pairs_of = lambda df: df.where(F.col("n") > hot).agg(F.sum(F.col("n") * (F.col("n") - 1.0))).first()[0] or 0
+    counts = key_counts(bands, min(hot, block))
+    if not (most := pairs_of(counts)):
+        return joined(bands, counts, least, block).distinct()
+    large = counts.where(F.col("n") > hot).select("key")
     some = materialize(classes.join(bands.join(large, "key", "left_semi").select("id").distinct(), "id", "left_semi"), "some")
     rarest = keyed(prefixes(some, word_weights(some, max_weight), max_weight, least))
-    if pairs_of(of_key(rarest)) >= most:
-        return joined(bands, least, block).distinct()
-    return joined(bands.join(large, "key", "left_anti"), least, block).unionByName(joined(rarest, least, block)).distinct()
+    rare_counts = key_counts(rarest, 1)
+    if (rare_counts.agg(F.sum(F.col("n") * (F.col("n") - 1.0))).first()[0] or 0) >= most:
+        return joined(bands, counts, least, block).distinct()
+    return joined(bands.join(large, "key", "left_anti"), counts, least, block).unionByName(joined(rarest, rare_counts, least, block)).distinct()
 
 
 def verified(pairs: DataFrame, classes: DataFrame, least: float) -> DataFrame:
