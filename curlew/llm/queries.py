@@ -59,8 +59,10 @@ def p9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p1_members, p1_links, p3_found, p3_truth, p5_found, p5_copies, p6_found, p7_ids, p8_containers, p9_pieces)}
 
-_STOCK = ", ".join("'" + s.replace("'", "''") + "'" for s in survivors.STOCK)
-_STOCK_PATTERN = "^(" + "|".join(survivors.STOCK_PATTERNS) + ")$"
+_STOCK = """'n/a', '-', 'tbd', 'see title', 'siehe titel', 'zie titel', 'metadata for this item are incomplete.', 'no description was provided by the depositor.', 'geen beschrijving beschikbaar.', 'keine beschreibung vorhanden.'"""
+_STOCK_LIKE = """lower(p.text) LIKE 'this record was imported automatically from _% and has not yet been described; please contact the help desk of the archive for details.'
+      OR lower(p.text) LIKE 'description to be added by the data steward of _% after the review of this record has been completed.'
+      OR lower(p.text) LIKE 'the full description of this data set can be requested in writing from the contact person named in the deposit agreement of _%.'"""
 
 _KEYED = r"""
 WITH marked AS (
@@ -104,13 +106,16 @@ WITH scored AS (
   SELECT project_uid, arg_max(canonical_score, (decided_at_utc, decision_id)) AS score
   FROM deduplication_decisions WHERE canonical_score IS NOT NULL GROUP BY 1),
 plain AS (
-  SELECT project_uid, description, trim(regexp_replace(description, '\s+', ' ', 'g')) AS text, trim(project_url) AS url FROM stg_projects),
+  SELECT project_uid, description, trim(regexp_replace(description, '\s+', ' ', 'g')) AS text, trim(project_url) AS url, nullif(regexp_replace(replace(lower(title), 'ß', 'ss'), '[^\p{{L}}\p{{M}}\p{{N}}]+', '', 'g'), '') AS plain_title,
+    regexp_extract(lower(repository_url), '^[a-z]+://(?:www\.)?([a-z0-9]{{4,}})', 1) AS host FROM stg_projects),
+bare AS (SELECT *, CASE WHEN host <> '' AND contains(lower(text), host) THEN regexp_replace(lower(text), '\b' || host || '\w*', '*', 'g') ELSE lower(text) END AS skeleton FROM plain),
+learned AS (SELECT skeleton FROM bare WHERE plain_title IS NOT NULL GROUP BY 1 HAVING count(DISTINCT plain_title) >= 10 AND count(DISTINCT plain_title) >= 0.8 * count(DISTINCT project_uid)),
 known AS (
   SELECT DISTINCT m.cluster_id, m.project_uid, s.score,
-    CASE WHEN lower(p.text) NOT IN ({_STOCK}) AND NOT regexp_matches(lower(p.text), '{_STOCK_PATTERN}')
+    CASE WHEN lower(p.text) NOT IN ({_STOCK}) AND NOT ({_STOCK_LIKE}) AND p.skeleton NOT IN (SELECT skeleton FROM learned WHERE skeleton IS NOT NULL)
       THEN nullif(length(regexp_replace(p.description, '\s+', '', 'g')), 0) END AS len,
     regexp_matches(p.url, '(?i)^https?://[^\s/?#]+/[^\s?#]+\S*$') AS linked
-  FROM duplicate_cluster_members m LEFT JOIN scored s USING (project_uid) LEFT JOIN plain p USING (project_uid)
+  FROM duplicate_cluster_members m LEFT JOIN scored s USING (project_uid) LEFT JOIN bare p USING (project_uid)
   WHERE m.cluster_id IS NOT NULL AND m.project_uid IS NOT NULL),
 ranked AS (
   SELECT cluster_id, 'record' AS field_name, project_uid, row_number() OVER (PARTITION BY cluster_id ORDER BY score DESC, project_uid) AS r FROM known WHERE score IS NOT NULL

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from curlew.llm.formatting import DOI, squeeze
 from curlew.session import materialize
 
-# Texts that stand in for a description, in lower case, and the same with a repository's name.
+#: Texts that stand in for a description however rare they are, in lower case; a parameter, since more are learned from the data.
 STOCK = (
     "n/a",
     "-",
@@ -32,6 +32,7 @@ STOCK = (
     "geen beschrijving beschikbaar.",
     "keine beschreibung vorhanden.",
 )
+#: The same with the name of a repository.
 STOCK_PATTERNS = (
     r"this record was imported automatically from .{1,80} and has not yet been described; please contact the help desk of the archive for details\.",
     r"description to be added by the data steward of .{1,80} after the review of this record has been completed\.",
@@ -44,12 +45,44 @@ def _plain(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, r"(?U)[\s​﻿]+", " "))
 
 
+def skeleton(description: Column, repository_url: Column) -> Column:
+    """A description in lower case with plain spaces, words that begin like its repository's host replaced by a star."""
+    text = F.lower(_plain(description))
+    host = F.regexp_extract(F.lower(repository_url), r"^[a-z]+://(?:www\.)?([a-z0-9]{4,})", 1)
+    return F.when((F.coalesce(host, F.lit("")) != "") & F.contains(text, host), F.regexp_replace(text, F.concat(F.lit("\\b"), host, F.lit("\\w*")), F.lit("*"))).otherwise(text)
+
+
+def _repository(projects: DataFrame) -> Column:
+    return F.col("repository_url") if "repository_url" in projects.columns else F.lit(None).cast("string")
+
+
+def learned_stock(projects: DataFrame, least_titles: int = 10, least_share: float = 0.8) -> DataFrame:
+    """(_stock): digests of descriptions that say nothing about the project, learned from the data.
+
+    Such a text, its repository's name aside, stands in records of at least
+    ``least_titles`` different titles, and these are at least ``least_share`` of its
+    titled records; copies of one study repeat its title too. Only digests travel.
+    """
+    told = projects.where(F.col("description").isNotNull() & squeeze(F.col("title")).isNotNull())
+    each = told.select("project_uid", F.md5(skeleton(F.col("description"), _repository(projects))).alias("_stock"), F.xxhash64(squeeze(F.col("title"))).alias("t")).distinct()
+    by_title = each.groupBy("_stock", "t").agg(F.count(F.lit(1)).alias("n"))
+    counts = by_title.groupBy("_stock").agg(F.count(F.lit(1)).alias("titles"), F.sum("n").alias("n"))
+    return counts.where((F.col("titles") >= least_titles) & (F.col("titles") >= F.lit(least_share) * F.col("n"))).select("_stock")
+
+
 def is_stock(description: Column) -> Column:
-    """Whether a description says nothing about the project."""
+    """Whether a description is one of the known texts that say nothing about the project."""
     text = F.lower(_plain(description))
     return text.isin(*STOCK) | text.rlike("^(?:" + "|".join(STOCK_PATTERNS) + ")$")
 
 
+def telling(projects: DataFrame) -> DataFrame:
+    """``projects`` with ``_telling``: whether the description is neither a known nor a learned stock text; null where there is none."""
+    stock = learned_stock(projects).withColumn("_found", F.lit(True))
+    marked = projects.withColumn("_stock", F.md5(skeleton(F.col("description"), _repository(projects))))
+    return marked.join(stock, "_stock", "left").withColumn("_telling", F.when(F.col("description").isNotNull(), ~is_stock(F.col("description")) & F.col("_found").isNull())).drop("_stock", "_found")
+
+
 def usable_url(url: Column) -> Column:
     """Whether a link is absolute http or https with a host and a path."""
     return _plain(url).rlike(URL)
@@ -67,12 +100,13 @@ def survivors(members: DataFrame, decisions: DataFrame, projects: DataFrame) ->
     Repeated member rows count once; rows with a null cluster or project have no
     part. Ties go to the smaller project_uid. A field has no row where no member has
     a usable value: a score for ``record``, a description with a character that
-    isn't space and isn't stock, a usable link of a scored member.
+    isn't space and isn't stock (known or learned from all projects), a usable link
+    of a scored member.
     """
     description = F.regexp_replace("description", r"(?U)[\s​﻿]+", "")
-    values = projects.where(F.col("project_uid").isNotNull()).select(
+    values = telling(projects.where(F.col("project_uid").isNotNull()).select("project_uid", "title", "description", "project_url", _repository(projects).alias("repository_url"))).select(
         "project_uid",
-        F.when(~is_stock(F.col("description")), F.length(description)).alias("_length"),
+        F.when(F.col("_telling"), F.length(description)).alias("_length"),
         usable_url(F.col("project_url")).alias("_linked"),
     )
     values = values.groupBy("project_uid").agg(F.max("_length").alias("_length"), F.max("_linked").alias("_linked"))
@@ -96,9 +130,9 @@ def claims_of(members: DataFrame, projects: DataFrame) -> DataFrame:
         "title": squeeze(F.col("title")),
         "doi": squeeze(F.regexp_replace("doi", rf"(?s)^.*?(?={DOI})", "")),
         "project_url": F.when(usable_url(F.col("project_url")), F.lower(_plain(F.col("project_url")))),
-        "description": F.when(~is_stock(F.col("description")), F.sha2(squeeze(F.col("description")), 256)),
+        "description": F.when(F.col("_telling"), F.sha2(squeeze(F.col("description")), 256)),
     }
-    said = projects.select("project_uid", F.col("source_database_id").cast("string").alias("source"), *[v.alias(f) for f, v in values.items()])
+    said = telling(projects).select("project_uid", F.col("source_database_id").cast("string").alias("source"), *[v.alias(f) for f, v in values.items()])
     rows = F.explode(F.array(*[F.struct(F.lit(f).alias("field_name"), F.col(f).alias("value")) for f in values]))
     return pairs.join(said, "project_uid").select("cluster_id", "source", "project_uid", rows.alias("x")).select("cluster_id", "x.field_name", "source", "project_uid", "x.value").where(F.col("value").isNotNull() & F.col("source").isNotNull())
 

@@ -67,3 +67,18 @@ def test_claims_skip_what_says_nothing(spark):
     projects = spark.createDataFrame([("a", 1, "A title", "doi:10.1234/X", "n/a", "https://", 1.0, "c"), ("b", None, "A title", None, None, None, 1.0, "c")], PROJECTS)
     members = spark.createDataFrame([("k", "a", 1.0), ("k", "b", 1.0)], MEMBERS)
     assert {(r["field_name"], r["value"]) for r in claims_of(members, projects).collect()} == {("title", "atitle"), ("doi", "101234x")}
+
+
+def test_stock_texts_are_learned_from_the_data(spark):
+    """A sentence in a fourth language, with and without the name of its repository, that many unlike records share; copies of one study don't make stock."""
+    stock = lambda n: f"Aucune description n’est disponible pour ce jeu de données; veuillez écrire au service de {n} pour tout renseignement."
+    host = {"north": "https://www.northdepot.example/", "lumen": "https://lumen.example.org"}
+    rows = [(f"s{i:02}", f"Title {i}", stock("northdepot" if i % 2 else "lumenrepo"), host["north" if i % 2 else "lumen"]) for i in range(12)]
+    study = "A long account of a single study that was delivered many times by one and the same depositor over the years."
+    rows += [(f"c{i:02}", f"The study, part {i % 3}", study, host["lumen"]) for i in range(30)]
+    rows += [("a", "One", "short but true", host["lumen"]), ("n", None, None, None)]
+    projects = spark.createDataFrame([(u, 1, t, None, d, None, r) for u, t, d, r in rows], "project_uid string, source_database_id long, title string, doi string, description string, project_url string, repository_url string")
+    members = spark.createDataFrame([("k", "a"), ("k", "s00"), ("k", "s01"), ("m", "c00"), ("m", "a"), ("only", "s03"), ("only", "n")], "cluster_id string, project_uid string")
+    decisions = spark.createDataFrame([], DECISIONS)
+    assert {(r[0], r[1], r[2]) for r in survivors(members, decisions, projects).collect()} == {("k", "description", "a"), ("m", "description", "c00")}
+    assert ("k", "description", "s00") not in {(r["cluster_id"], r["field_name"], r["project_uid"]) for r in claims_of(members, projects).collect()}
