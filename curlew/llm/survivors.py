@@ -76,11 +76,15 @@ def is_stock(description: Column) -> Column:
     return text.isin(*STOCK) | text.rlike("^(?:" + "|".join(STOCK_PATTERNS) + ")$")
 
 
-def telling(projects: DataFrame) -> DataFrame:
-    """``projects`` with ``_telling``: whether the description is neither a known nor a learned stock text; null where there is none."""
+def telling(projects: DataFrame, value: Column, **others: Column) -> DataFrame:
+    """(others..., _said): ``value``, made of the description, where that is neither a known nor a learned stock text.
+
+    Only what is named travels to the learned digests, not the texts.
+    """
     stock = learned_stock(projects).withColumn("_found", F.lit(True))
-    marked = projects.withColumn("_stock", F.md5(skeleton(F.col("description"), _repository(projects))))
-    return marked.join(stock, "_stock", "left").withColumn("_telling", F.when(F.col("description").isNotNull(), ~is_stock(F.col("description")) & F.col("_found").isNull())).drop("_stock", "_found")
+    known = F.when(~is_stock(F.col("description")), value)
+    short = projects.select(F.md5(skeleton(F.col("description"), _repository(projects))).alias("_stock"), known.alias("_said"), *[c.alias(n) for n, c in others.items()])
+    return short.join(stock, "_stock", "left").select(*others, F.when(F.col("_found").isNull(), F.col("_said")).alias("_said"))
 
 
 def usable_url(url: Column) -> Column:
@@ -104,12 +108,8 @@ def survivors(members: DataFrame, decisions: DataFrame, projects: DataFrame) ->
     of a scored member.
     """
     description = F.regexp_replace("description", r"(?U)[\s​﻿]+", "")
-    values = telling(projects.where(F.col("project_uid").isNotNull()).select("project_uid", "title", "description", "project_url", _repository(projects).alias("repository_url"))).select(
-        "project_uid",
-        F.when(F.col("_telling"), F.length(description)).alias("_length"),
-        usable_url(F.col("project_url")).alias("_linked"),
-    )
-    values = values.groupBy("project_uid").agg(F.max("_length").alias("_length"), F.max("_linked").alias("_linked"))
+    values = telling(projects.where(F.col("project_uid").isNotNull()), F.length(description), project_uid=F.col("project_uid"), _linked=usable_url(F.col("project_url")))
+    values = values.groupBy("project_uid").agg(F.max("_said").alias("_length"), F.max("_linked").alias("_linked"))
     pairs = members.select("cluster_id", "project_uid").where(F.col("cluster_id").isNotNull() & F.col("project_uid").isNotNull()).distinct()
     known = pairs.join(last_scores(decisions), "project_uid", "left").join(values, "project_uid", "left")
     best = lambda measure, usable: F.min(F.when(usable, F.struct((-measure).alias("m"), F.col("project_uid"))))["project_uid"]
@@ -130,10 +130,9 @@ def claims_of(members: DataFrame, projects: DataFrame) -> DataFrame:
         "title": squeeze(F.col("title")),
         "doi": squeeze(F.regexp_replace("doi", rf"(?s)^.*?(?={DOI})", "")),
         "project_url": F.when(usable_url(F.col("project_url")), F.lower(_plain(F.col("project_url")))),
-        "description": F.when(F.col("_telling"), F.sha2(squeeze(F.col("description")), 256)),
     }
-    said = telling(projects).select("project_uid", F.col("source_database_id").cast("string").alias("source"), *[v.alias(f) for f, v in values.items()])
-    rows = F.explode(F.array(*[F.struct(F.lit(f).alias("field_name"), F.col(f).alias("value")) for f in values]))
+    said = telling(projects, F.sha2(squeeze(F.col("description")), 256), project_uid=F.col("project_uid"), source=F.col("source_database_id").cast("string"), **values).withColumnRenamed("_said", "description")
+    rows = F.explode(F.array(*[F.struct(F.lit(f).alias("field_name"), F.col(f).alias("value")) for f in (*values, "description")]))
     return pairs.join(said, "project_uid").select("cluster_id", "source", "project_uid", rows.alias("x")).select("cluster_id", "x.field_name", "source", "project_uid", "x.value").where(F.col("value").isNotNull() & F.col("source").isNotNull())
 
 
