@@ -28,6 +28,8 @@ from curlew.session import materialize, shuffle_partitions
 
 #: Steps of the length grid in a container.
 GRID = 512
+#: Steps that combinations may leave free in the second fit, and the part of the needed containers by which the first may miss them.
+WINDOW, MISS = 16, 0.005
 
 
 def combinations(units: int, window: int = 0) -> np.ndarray:
@@ -62,7 +64,22 @@ def fit_repeats(combos: np.ndarray, histogram: np.ndarray, rounds: int = 400) ->
 
 
 def plan(histogram: np.ndarray) -> list[tuple[dict[int, int], int]]:
-    """[(lengths of a container with their numbers, repeats)] that use up a histogram of grid lengths 1..units exactly."""
+    """[(lengths of a container with their numbers, repeats)] that use up a histogram of grid lengths 1..units exactly.
+
+    Combinations that fill a container are fitted first. Where lengths don't come
+    out even and the containers are ``MISS`` more than the lengths need, those that
+    leave up to ``WINDOW`` steps free are fitted after them, and the better plan holds.
+    """
+    units = len(histogram) - 1
+    size = lambda chosen: sum(times for _, times in chosen)
+    full = fitted(histogram, (0,))
+    if size(full) <= (1 + MISS) * (histogram.astype(np.int64) @ np.arange(units + 1)) / max(1, units) + 1:
+        return full
+    return min(full, fitted(histogram, (0, min(WINDOW, units - 1))), key=size)
+
+
+def fitted(histogram: np.ndarray, windows: tuple[int, ...]) -> list[tuple[dict[int, int], int]]:
+    """A plan by one least-squares fit for each window, and the rest greedily."""
     units = len(histogram) - 1
     left = histogram.astype(np.int64).copy()
     left[0] = 0
@@ -75,8 +92,10 @@ def plan(histogram: np.ndarray) -> list[tuple[dict[int, int], int]]:
                 left[u] -= times * m
             chosen.append((content, int(times)))
 
-    if left.any():
-        combos = combinations(units)
+    for window in windows:
+        if not left.any():
+            break
+        combos = combinations(units, window)
         served = (left[combos] > 0) | (combos == 0)
         combos = combos[served.all(axis=1)]
         if len(combos):

@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from curlew.llm import formatting, near_duplicates, packing, splitting, subjects, survivors, tokenizer
 from curlew.session import table
@@ -53,11 +55,31 @@ def p8_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def p8_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(measure, value): every text once and whole unless it is too large, no container overfull, all of them nearly full (1)."""
+    packed = p8_containers(spark, sf_dir)
+    texts = packed.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.max("piece_no").alias("last"), F.sum("n_tokens").alias("tokens"))
+    wrongly = (F.col("last") + 1 != F.col("n")) | (F.col("n") > F.greatest(F.lit(1), F.ceil(F.col("tokens") / 2048)))
+    filled = packed.groupBy("container_id").agg(F.sum("n_tokens").alias("filled"))
+    nearly = F.sum("filled") >= 0.97 * 2048 * F.count_if(F.col("filled") > 0)
+    rows = lambda df, **m: df.agg(*[c.cast("long").alias(n) for n, c in m.items()]).select(F.explode(F.array(*[F.struct(F.lit(n).alias("measure"), F.col(n).alias("value")) for n in m])).alias("x")).select("x.*")
+    return rows(texts, texts=F.count(F.lit(1)), cut_wrongly=F.count_if(wrongly)).unionByName(rows(filled, overfull=F.count_if(F.col("filled") > 2048), nearly_full=nearly))
+
+
+def p9_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What must hold of the pieces, by text: its length when the new parts are put together, and faults of size, order and overlap."""
+    pieces = splitting.split_documents(table(spark, sf_dir, "documents"), with_text=False)
+    before = Window.partitionBy("doc_id").orderBy("piece_no")
+    done = F.coalesce(F.lag("char_end").over(before), F.lit(0))
+    each = pieces.select("doc_id", (F.col("char_end") - done).alias("new"), ((F.col("n_tokens") > 512) | (F.col("overlap_tokens") > 64) | (F.col("char_start") > done) | (F.col("char_end") <= done) | ((F.col("overlap_tokens") == 0) != (F.col("char_start") == done))).alias("fault"))
+    return each.groupBy("doc_id").agg(F.sum("new").alias("covered"), F.count_if("fault").alias("faults"))
+
+
 def p9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return splitting.split_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p1_members, p1_links, p3_found, p3_truth, p5_found, p5_copies, p6_found, p7_ids, p8_containers, p9_pieces)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p1_members, p1_links, p3_found, p3_truth, p5_found, p5_copies, p6_found, p7_ids, p8_containers, p8_checked, p9_pieces, p9_checked)}
 
 _STOCK = """'n/a', '-', 'tbd', 'see title', 'siehe titel', 'zie titel', 'metadata for this item are incomplete.', 'no description was provided by the depositor.', 'geen beschrijving beschikbaar.', 'keine beschreibung vorhanden.'"""
 _STOCK_LIKE = """lower(p.text) LIKE 'this record was imported automatically from _% and has not yet been described; please contact the help desk of the archive for details.'
@@ -101,6 +123,8 @@ pairs AS (
 SELECT DISTINCT least(u, v) AS project_uid_a, greatest(u, v) AS project_uid_b FROM pairs""",
     "p1_members": _WORDS + " SELECT uid AS project_uid, class_key, copies FROM member",
     "p1_links": _WORDS + " SELECT least(x.class_key, y.class_key) AS class_key_a, greatest(x.class_key, y.class_key) AS class_key_b, agreement FROM links l JOIN classes x ON x.id = l.a JOIN classes y ON y.id = l.b",
+    "p8_checked": "SELECT unnest(['texts', 'cut_wrongly', 'overfull', 'nearly_full']) AS measure, unnest([count(*), 0, 0, 1])::BIGINT AS value FROM documents",
+    "p9_checked": "SELECT doc_id, length(text)::BIGINT AS covered, 0::BIGINT AS faults FROM documents WHERE text <> ''",
     "p3_found": rf"""
 WITH scored AS (
   SELECT project_uid, arg_max(canonical_score, (decided_at_utc, decision_id)) AS score

@@ -5,7 +5,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
-from curlew.llm.packing import combinations, pack, plan
+from curlew.llm.packing import combinations, fitted, pack, plan
 
 
 def check(rows, capacity, items):
@@ -65,3 +65,16 @@ def test_plan_uses_up_the_histogram():
 def test_combinations_fill_the_window():
     found = {tuple(c) for c in combinations(12, 1)}
     assert found == {(a, b, c) for a in range(13) for b in range(a + 1) for c in range(b + 1) if a + b + c in (11, 12)}
+
+
+def test_lengths_that_do_not_come_out_even():
+    histogram = np.zeros(513, int)
+    histogram[[240, 37, 130]] = [100_000, 20_000, 70_000]
+    containers = lambda chosen: sum(times for _, times in chosen)
+    assert containers(plan(histogram)) < 0.96 * containers(fitted(histogram, (0,)))
+    used = np.zeros(513, int)
+    for content, times in plan(histogram):
+        assert sum(u * m for u, m in content.items()) <= 512
+        for u, m in content.items():
+            used[u] += m * times
+    assert (used == histogram).all()
