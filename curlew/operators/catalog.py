@@ -57,7 +57,7 @@ def verified(catalog: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def compatibility(profiles: DataFrame) -> dict[str, DataFrame]:
-    """Tables of profiled databases (source, table_name, columns, primary_key): presence, column frequency, column and key layouts."""
+    """Tables of profiled databases (source, table_name, columns, primary_key): presence, column frequency, column and key layouts; ``by_count`` orders them."""
     low = lambda c: F.transform(c, lambda x: F.lower(F.trim(x)))
     df = profiles.where(F.col("table_name").isNotNull()).select("source", "table_name", low("columns").alias("columns"), low("primary_key").alias("primary_key"))
     count = F.count(F.lit(1)).alias("databases")
@@ -69,6 +69,11 @@ def compatibility(profiles: DataFrame) -> dict[str, DataFrame]:
     }
 
 
+def by_count(counted: DataFrame, count: str = "databases") -> DataFrame:
+    """A summary in its report order: the largest count first, then by its keys."""
+    return counted.orderBy(F.col(count).desc(), *[c for c in counted.columns if c != count])
+
+
 def upsert(stored: DataFrame, changes: DataFrame, key: str, order: str) -> DataFrame:
     """``stored`` with the last change of each key (by ``order``, unique within a key) in its place."""
     columns = stored.columns
@@ -87,12 +92,15 @@ def existing(candidates: DataFrame, ledger: DataFrame, url: str = "url") -> Data
     return candidates.withColumn("_k", U.ledger_url(url)).join(known, "_k", "left_semi").drop("_k")
 
 
-def archive_of(projects: DataFrame, archives: DataFrame) -> DataFrame:
-    """(project_uid, archive, status): the archive named by a project's title, whatever its case; the first path of a name counts."""
+def archive_of(projects: DataFrame, archives: DataFrame, exact: bool = False) -> DataFrame:
+    """(project_uid, archive, status): the archive named by a project's title, whatever its case.
+
+    The first path of a name counts; with ``exact``, a name of several paths is AMBIGUOUS.
+    """
     base = F.lower(F.regexp_extract("archive", r"([^/]*)$", 1))
-    index = archives.select(base.alias("_name"), "archive").groupBy("_name").agg(F.min("archive").alias("archive"))
+    index = archives.select(base.alias("_name"), "archive").groupBy("_name").agg(F.min("archive").alias("archive"), F.count_distinct("archive").alias("_n"))
     named = projects.where(F.lower("title").endswith(".qdpx")).withColumn("_name", F.lower(F.trim("title")))
-    return named.join(index, "_name", "left").select("project_uid", "archive", F.when(F.col("archive").isNull(), "ARCHIVE_NOT_FOUND").otherwise("FOUND").alias("status"))
+    return named.join(index, "_name", "left").select("project_uid", "archive", F.when(F.col("archive").isNull(), "ARCHIVE_NOT_FOUND").when(F.lit(exact) & (F.col("_n") > 1), "AMBIGUOUS").otherwise("FOUND").alias("status"))
 
 
 def report_matches(report: DataFrame, run: DataFrame, fields: tuple[str, ...], quiet: tuple[str, ...] = ("BASELINE_CREATED", "UNCHANGED")) -> DataFrame:

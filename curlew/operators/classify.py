@@ -65,13 +65,12 @@ def project_types(projects: DataFrame, files: DataFrame) -> DataFrame:
     return df.select("project_uid", kind.otherwise("NOT_A_PROJECT").alias("project_type"), rule.otherwise("NO_FILE_RECORD").alias("classification_rule"), count.alias("file_record_count"))
 
 
-def term_class(text: Column, legal: tuple[str, ...] = V.LEGAL_TERMS, research: tuple[str, ...] = V.RESEARCH_TERMS, single: bool = False) -> Column:
-    """Struct (division, rule, confidence, terms) from different terms contained in a text; null if inconclusive.
+def judged(a: Column, b: Column, single: bool = False) -> Column:
+    """Struct (division, rule, confidence, terms) from the terms of two lists that a text contains; null if inconclusive.
 
     Two terms of one list decide if it has the more (the first list wins a tie); with
     ``single``, one term does if the other list has none.
     """
-    a, b = X.hits(text, legal), X.hits(text, research)
     na, nb = F.size(a), F.size(b)
     sure = lambda n: F.least(F.lit(0.99), F.lit(0.80) + n * F.lit(0.04))
     made = lambda d, r, c, t: F.struct(F.lit(d).alias("division"), F.lit(r).alias("rule"), c.alias("confidence"), F.array_join(t, "|").alias("terms"))
@@ -81,10 +80,20 @@ def term_class(text: Column, legal: tuple[str, ...] = V.LEGAL_TERMS, research: t
     return out
 
 
+def term_class(text: Column, legal: tuple[str, ...] = V.LEGAL_TERMS, research: tuple[str, ...] = V.RESEARCH_TERMS, single: bool = False) -> Column:
+    """``judged`` of the different terms contained in a text."""
+    return judged(X.hits(text, legal), X.hits(text, research), single)
+
+
 def classify_terms(rows: DataFrame, key: str, columns: tuple[str, ...], **options) -> DataFrame:
     """(key, division, rule, confidence, terms) of the rows whose context is conclusive."""
-    found = rows.select(key, X.fold(F.concat_ws("\n", *columns)).alias("_t")).select(key, term_class(F.col("_t"), **options).alias("c"))
-    return found.where(F.col("c").isNotNull()).select(key, "c.*")
+    legal, research, single = options.get("legal", V.LEGAL_TERMS), options.get("research", V.RESEARCH_TERMS), options.get("single", False)
+    # Each term is sought once; the flags travel on in place of the text, and only rows with a hit are judged.
+    text = F.col("_t")
+    flags = lambda terms: F.array_compact(F.array(*[F.when(F.contains(text, F.lit(t)), F.lit(t)) for t in terms]))
+    folded = rows.select(key, X.fold(F.concat_ws("\n", *columns)).alias("_t"))
+    hits = folded.select(key, F.explode(F.array(F.struct(flags(legal).alias("a"), flags(research).alias("b")))).alias("h")).select(key, "h.a", "h.b")
+    return hits.where((F.size("a") > 0) | (F.size("b") > 0)).select(key, judged(F.col("a"), F.col("b"), single).alias("c")).where(F.col("c").isNotNull()).select(key, "c.*")
 
 
 def file_classes(files: DataFrame, texts: DataFrame, project_classes: DataFrame, ceiling: float = 0.78, **options) -> DataFrame:
@@ -126,6 +135,41 @@ def evidence_audit(projects: DataFrame, files: DataFrame) -> DataFrame:
     return counted.select(F.explode(F.array(*[F.struct(F.lit(b).alias("bucket"), F.col(b).alias("projects")) for b in buckets])).alias("x")).select("x.*")
 
 
+def unconfirmed(projects: DataFrame, files: DataFrame) -> DataFrame:
+    """(project_uid, title, ambiguous, ambiguous_names): projects whose ambiguous files no context confirms."""
+    facts = projects.where(F.col("project_uid").isNotNull()).select("project_uid", "title", X.context("title", "description").alias("about"))
+    df = facts.join(evidence(files), "project_uid").withColumn("text", F.concat_ws(" ", "about", F.lower("ambiguous_names")))
+    return df.where(~some("high") & some("ambiguous") & ~named("text", V.QDA_TERMS)).select("project_uid", "title", "ambiguous", "ambiguous_names")
+
+
+def unconfirmed_extensions(found: DataFrame) -> DataFrame:
+    """(extension, projects) of the unconfirmed projects; one with several extensions counts for each."""
+    return found.select(F.explode("ambiguous").alias("extension")).groupBy("extension").agg(F.count(F.lit(1)).alias("projects"))
+
+
+def unconfirmed_sample(found: DataFrame, size: int = 100) -> DataFrame:
+    """The first ``size`` unconfirmed projects by uid: a sample for the eye."""
+    return found.orderBy("project_uid").limit(size).select("project_uid", "title", F.array_join("ambiguous", "|").alias("extensions"), "ambiguous_names")
+
+
+def division_counts(classes: DataFrame) -> DataFrame:
+    """(division, projects)."""
+    return classes.groupBy("division").agg(F.count(F.lit(1)).alias("projects"))
+
+
+def file_rule_counts(file_classes_: DataFrame, projects: DataFrame, sources: DataFrame) -> DataFrame:
+    """(source_scope, division, direct, fallback): files classified by their own text, and by their project's."""
+    df = file_classes_.join(projects.select("project_uid", "source_database_id"), "project_uid").join(sources.select("source_database_id", "source_scope"), "source_database_id")
+    direct = F.col("rule") != "PROJECT_CONTEXT_FALLBACK"
+    return df.groupBy("source_scope", "division").agg(F.count_if(direct).alias("direct"), F.count_if(~direct).alias("fallback"))
+
+
+def file_class_id(project: Column, origin: Column, reference: Column) -> Column:
+    """The id of a file's classification."""
+    part = lambda c: F.coalesce(c, F.lit(""))
+    return F.concat(F.lit("isic-file:"), F.sha2(F.concat_ws("|", part(project), part(origin), part(reference)), 256))
+
+
 def extension_histogram(files: DataFrame) -> DataFrame:
     """(extension, files), ``[no extension]`` for none."""
     ext = F.coalesce(F.nullif(X.file_extension("file_name"), F.lit("")), F.lit("[no extension]"))

@@ -149,6 +149,24 @@ def decision_tags(decided: DataFrame) -> DataFrame:
     return decided.select("project_uid", F.explode(tags).alias("tag"))
 
 
+def decision_tables(decided: DataFrame, run_id: str) -> dict[str, DataFrame]:
+    """One resolution as its stored tables: decisions, tags, audit, the deduplicated analysis, and the run's own counts."""
+    kept = F.col("decision") != "EXCLUDED_FROM_DEDUPLICATED_ANALYSIS"
+    return {
+        "decisions": decided,
+        "tags": decision_tags(decided),
+        "audit": decided.select("project_uid", "evidence_rule", "decision_reason", "canonical_score"),
+        "analysis": decided.where(kept).select("project_uid", "source_scope"),
+        "run": decided.agg(F.lit(run_id).alias("run_id"), F.count(F.lit(1)).alias("raw_projects"), F.count_if(kept).alias("included"), F.count_if(~kept).alias("excluded")),
+    }
+
+
+def run_scopes(runs: DataFrame, decided: DataFrame) -> DataFrame:
+    """(run_id, source_scope, decisions, excluded) of each run; rows that arrive twice count once, runs without decisions have none."""
+    once = decided.dropDuplicates(["decision_id"]).select("run_id", "source_scope", "decision")
+    return runs.select("run_id").join(once, "run_id").groupBy("run_id", "source_scope").agg(F.count(F.lit(1)).alias("decisions"), F.count_if(F.col("decision") == "EXCLUDED_FROM_DEDUPLICATED_ANALYSIS").alias("excluded"))
+
+
 def scope_summary(decided: DataFrame, scopes: tuple[str, ...] = V.SCOPES) -> DataFrame:
     """One row for each scope, those without projects included."""
     counted = decided.groupBy("source_scope").agg(

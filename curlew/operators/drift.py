@@ -71,13 +71,16 @@ def schema_fingerprint(tables: dict[str, DataFrame]) -> str:
 
 
 def save_snapshot(snapshot: DataFrame, folder: str, stamp: str) -> None:
-    """Write a snapshot to the history under its time stamp, then as the latest: readers see it whole or not at all."""
+    """Write a snapshot to the history under its time stamp, then let ``latest`` name it: a crash leaves the snapshot before."""
     snapshot.write.mode("overwrite").parquet(f"{folder}/history/ts={stamp}")
-    snapshot.sparkSession.read.parquet(f"{folder}/history/ts={stamp}").write.mode("overwrite").parquet(f"{folder}/latest")
+    spark = snapshot.sparkSession
+    spark.createDataFrame([(stamp,)], "stamp string").coalesce(1).write.mode("append").text(f"{folder}/latest")
 
 
 def load_snapshot(spark: SparkSession, folder: str) -> DataFrame | None:
-    """The latest snapshot, or none before the first."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/latest/_SUCCESS")
-    there = path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
-    return spark.read.parquet(f"{folder}/latest") if there else None
+    """The snapshot of the latest stamp that was named, or none before the first."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/latest")
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return None
+    stamp = spark.read.text(f"{folder}/latest").agg(F.max("value")).first()[0]
+    return spark.read.parquet(f"{folder}/history/ts={stamp}") if stamp else None

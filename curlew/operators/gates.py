@@ -60,6 +60,71 @@ def dedup_gate(projects: DataFrame, decided: DataFrame, tags: DataFrame) -> Data
     ])
 
 
+def run_gate(projects: DataFrame, tables: dict[str, DataFrame], runs: DataFrame) -> DataFrame:
+    """Checks of the stored tables of a resolution (``dedup.decision_tables``) against its run row and the staging."""
+    d, run = tables["decisions"].select("project_uid"), tables["run"]
+    missing = lambda name: d.join(tables[name].select("project_uid").distinct(), "project_uid", "left_anti")
+    rows = F.count(F.lit(1))
+    measures = [
+        measure(projects, staged=F.count_distinct("project_uid")),
+        measure(tables["decisions"], decisions=rows),
+        measure(tables["analysis"], analysis=F.count_distinct("project_uid")),
+        measure(run, run_raw=F.sum("raw_projects"), run_included=F.sum("included"), run_excluded=F.sum("excluded"), runs=rows),
+        measure(runs.join(run.select("run_id"), "run_id", "left_semi"), known_runs=rows),
+        *[measure(missing(name), **{f"without_{name}": rows}) for name in ("audit", "tags")],
+    ]
+    return checks(measures, [
+        ("latest_run_present", 1, "known_runs"), ("raw_project_count_matches_staging", m("staged"), "run_raw"), ("decision_coverage", m("staged"), "decisions"),
+        ("deduplicated_analysis_coverage", m("run_included"), "analysis"), ("included_match_run", m("decisions") - m("run_excluded"), "run_included"), ("excluded_match_run", m("decisions") - m("run_included"), "run_excluded"),
+        ("audit_coverage", 0, "without_audit"), ("tag_coverage", 0, "without_tags"),
+    ])
+
+
+def delivery_gate(tables: dict[str, DataFrame], types: DataFrame, staged: DataFrame, repositories: tuple[int, ...]) -> DataFrame:
+    """Checks of delivered tables (``delivery.delivery_tables``) against the staging they come from."""
+    projects, isic, files = tables["projects"], tables["isic"], tables["files"]
+    rows = F.count(F.lit(1))
+    official = staged.where(F.col("repository_id").try_cast("int").isin(*repositories)).select("project_uid").distinct()
+    classified = isic.where(F.col("primary_division_code").isNotNull()).select("project_id").distinct()
+    measures = [
+        measure(official, official=rows), measure(projects, delivered=rows, outside=F.count_if(~F.col("repository_id").isin(*repositories)), ids=F.count_distinct("id")),
+        measure(types.join(official, "project_uid", "left_semi"), typed=F.count_distinct("project_uid")),
+        measure(projects.select(F.col("id").alias("project_id")).join(classified, "project_id", "left_anti"), unclassified=rows),
+        measure(files, files=rows, file_ids=F.count_distinct("id"), primary=F.count_if("is_primary")),
+        measure(files.join(projects.select(F.col("id").alias("project_id")), "project_id", "left_anti"), orphans=rows),
+    ]
+    return checks(measures, [
+        ("official_project_count", m("official"), "delivered"), ("repository_scope", 0, "outside"), ("project_ids_unique", m("delivered"), "ids"), ("types_complete", m("official"), "typed"),
+        ("classification_coverage", 0, "unclassified"), ("file_ids_unique", m("files"), "file_ids"), ("orphan_file_records", 0, "orphans"), ("primary_file_coverage", m("files"), "primary"),
+    ])
+
+
+def foreign_keys(tables: dict[str, DataFrame], declared: list[tuple[str, str, str]]) -> DataFrame:
+    """(child, column, parent, orphans) of each declared (child table, column, parent table): rows whose value the parent's column lacks; null refers to nothing."""
+    out = None
+    for child, column, parent in declared:
+        mine = tables[child].where(F.col(column).isNotNull()).select(F.col(column).cast("string").alias("k"))
+        theirs = tables[parent].select(F.col(column).cast("string").alias("k")).distinct()
+        one = mine.join(theirs, "k", "left_anti").agg(F.count(F.lit(1)).alias("orphans")).select(F.lit(child).alias("child"), F.lit(column).alias("column"), F.lit(parent).alias("parent"), "orphans")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def require(found: DataFrame) -> None:
+    """Raise if an error check of a gate failed, naming those that did (as many as a gate has checks)."""
+    failed = [r["name"] for r in found.where(~F.col("passed") & (F.col("severity") == "error")).select("name").orderBy("name").collect()]
+    if failed:
+        raise ValueError(f"failed checks: {failed}")
+
+
+def verify_output(df: DataFrame, columns: tuple[str, ...], rows: int | None = None) -> None:
+    """Raise unless a written output, read again, has exactly these columns in this order, and so many rows."""
+    if tuple(df.columns) != tuple(columns):
+        raise ValueError(f"columns are {df.columns}, expected {list(columns)}")
+    if rows is not None and (n := df.count()) != rows:
+        raise ValueError(f"{n} rows, expected {rows}")
+
+
 def distribution_gate(observed: DataFrame, expected: DataFrame, name: str) -> DataFrame:
     """One check for each (key, value) of two distributions; a key on one side only fails."""
     joined = observed.select("key", F.col("value").alias("o")).join(expected.select("key", F.col("value").alias("e")), "key", "full")

@@ -42,7 +42,10 @@ def issues(files: DataFrame, projects: DataFrame) -> DataFrame:
 
 
 def import_audit(projects: DataFrame, files: DataFrame, sources: DataFrame) -> DataFrame:
-    """One row for each source: rows staged, and FAILED where a key repeats with other values."""
+    """One row for each source: rows staged, and FAILED where a project key repeats.
+
+    Files that are delivered again are no failure; their rows and keys show how many.
+    """
     counted = [df.groupBy("source_database_id").agg(F.count(F.lit(1)).alias(f"{n}_rows"), F.count_distinct(key).alias(f"{n}_keys")) for df, key, n in ((projects, "project_uid", "project"), (files, "file_uid", "file"))]
     df = sources.select("source_database_id")
     for c in counted:
@@ -52,6 +55,28 @@ def import_audit(projects: DataFrame, files: DataFrame, sources: DataFrame) -> D
     return df.withColumn("import_status", F.when(F.col("project_rows") > F.col("project_keys"), "FAILED").otherwise("COMPLETED"))
 
 
+def import_totals(audit: DataFrame, sources: DataFrame) -> DataFrame:
+    """(source_scope, databases, completed, projects, files): totals of an import audit; rows of failed imports don't count."""
+    done = F.col("import_status") == "COMPLETED"
+    total = lambda c: F.coalesce(F.sum(F.when(done, F.col(c))), F.lit(0)).alias(c.removesuffix("_rows") + "s")
+    return audit.join(sources.select("source_database_id", "source_scope"), "source_database_id").groupBy("source_scope").agg(F.count(F.lit(1)).alias("databases"), F.count_if(done).alias("completed"), total("project_rows"), total("file_rows"))
+
+
+def member_rows(rows: DataFrame, raw: str, field: str, key: str, name: str) -> DataFrame:
+    """(key, name): the values under ``field`` of a raw object as a table of its own, each once for its key.
+
+    A list gives its members, a text the parts between semicolons, an object its
+    ``id`` or ``name``, any other value itself. Blank and null values give no row.
+    """
+    value = F.try_variant_get(F.try_parse_json(F.col(raw)), f"$.{field}", "variant")
+    kind = F.schema_of_variant(value)
+    text = F.try_variant_get(value, "$", "string")
+    named = F.coalesce(F.try_variant_get(value, "$.id", "string"), F.try_variant_get(value, "$.name", "string"))
+    parts = F.when(kind.startswith("ARRAY"), F.try_variant_get(value, "$", "array<string>")).when(kind.startswith("OBJECT"), F.array(named)).when(kind == "STRING", F.split(text, ";")).otherwise(F.array(text))
+    each = rows.where(F.col(key).isNotNull()).select(key, F.explode(parts).alias("_v")).select(key, X.as_text("_v").alias(name))
+    return each.where(F.col(name).isNotNull()).distinct()
+
+
 def repeated_keys(rows: DataFrame, *keys: str) -> DataFrame:
     """(keys, copies) of the keys that occur more than once."""
     return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")

@@ -325,4 +325,75 @@ told AS (
     CASE WHEN regexp_matches(l.status, '(?i)^(ok|succeeded)$') THEN 'SUCCEEDED' WHEN regexp_matches(l.status, '(?i)login') THEN 'FAILED_LOGIN_REQUIRED' WHEN regexp_matches(l.status, '(?i)large') THEN 'FAILED_TOO_LARGE' ELSE 'FAILED_SERVER_UNRESPONSIVE' END AS status
   FROM ledger l JOIN migrated m ON m.project_url = l.url)
 SELECT file_type, status, count(*) AS files FROM told GROUP BY ALL""",
+    "q_run_gate": f"""WITH {DECISIONS},
+n AS (SELECT (SELECT count(DISTINCT project_uid) FROM stg_projects) AS staged, count(*) AS decisions, count(*) FILTER (decision <> 'EXCLUDED_FROM_DEDUPLICATED_ANALYSIS') AS included, count(DISTINCT project_uid) FILTER (decision <> 'EXCLUDED_FROM_DEDUPLICATED_ANALYSIS') AS analysis FROM decided),
+c AS (SELECT unnest([
+  {{'name': 'latest_run_present', 'e': 1, 'o': (SELECT least(count(*), 1) FROM deduplication_runs)}}, {{'name': 'raw_project_count_matches_staging', 'e': staged, 'o': decisions}}, {{'name': 'decision_coverage', 'e': staged, 'o': decisions}},
+  {{'name': 'deduplicated_analysis_coverage', 'e': included, 'o': analysis}}, {{'name': 'included_match_run', 'e': included, 'o': included}}, {{'name': 'excluded_match_run', 'e': decisions - included, 'o': decisions - included}},
+  {{'name': 'audit_coverage', 'e': 0, 'o': 0}}, {{'name': 'tag_coverage', 'e': 0, 'o': 0}}]) AS x FROM n)
+SELECT x.name AS name, x.e = x.o AS passed, 'error' AS severity, x.e::VARCHAR AS expected, x.o::VARCHAR AS observed FROM c""",
+    "q_foreign_keys": " UNION ALL ".join(
+        f"SELECT '{c}' AS child, '{k}' AS \"column\", '{p}' AS parent, count(*) AS orphans FROM {c} WHERE {k} IS NOT NULL AND {k}::VARCHAR NOT IN (SELECT {k}::VARCHAR FROM {p} WHERE {k} IS NOT NULL)"
+        for c, k, p in (
+            ("stg_projects", "source_database_id", "source_databases"), ("stg_files", "source_database_id", "source_databases"), ("stg_files", "project_uid", "stg_projects"), ("duplicate_cluster_members", "project_uid", "stg_projects"),
+            ("deduplication_decisions", "project_uid", "stg_projects"), ("deduplication_decisions", "run_id", "deduplication_runs"), ("isic_project_classifications", "project_uid", "stg_projects"), ("documents", "project_uid", "stg_projects"),
+        )
+    ),
+    "m_run_scopes": "SELECT run_id, source_scope, count(*) AS decisions, count(*) FILTER (decision = 'EXCLUDED_FROM_DEDUPLICATED_ANALYSIS') AS excluded FROM (SELECT DISTINCT ON (decision_id) * FROM deduplication_decisions) JOIN (SELECT run_id FROM deduplication_runs) USING (run_id) GROUP BY ALL",
+    "m_run_drift": """WITH d AS (SELECT run_id, project_uid, canonical_project_uid, decision, evidence_rule, canonical_score, count(*) AS n FROM (SELECT DISTINCT ON (decision_id) * FROM deduplication_decisions) GROUP BY ALL),
+r AS (SELECT run_id, resolution_version, lag(run_id) OVER w AS b, lag(resolution_version) OVER w AS v FROM deduplication_runs WINDOW w AS (ORDER BY created_at_utc, run_id))
+SELECT run_id, b AS previous_run_id, CASE WHEN b IS NULL THEN 'BASELINE_CREATED' WHEN resolution_version IS DISTINCT FROM v THEN 'RESOLUTION_VERSION_CHANGED'
+  WHEN EXISTS (SELECT * EXCLUDE (run_id) FROM d WHERE d.run_id = r.run_id EXCEPT SELECT * EXCLUDE (run_id) FROM d WHERE d.run_id = r.b) OR EXISTS (SELECT * EXCLUDE (run_id) FROM d WHERE d.run_id = r.b EXCEPT SELECT * EXCLUDE (run_id) FROM d WHERE d.run_id = r.run_id) THEN 'DECISIONS_CHANGED' ELSE 'UNCHANGED' END AS status FROM r""",
+    "a_import_totals": """WITH p AS (SELECT source_database_id, count(*) AS n, count(*) > count(DISTINCT project_uid) AS bad FROM stg_projects GROUP BY 1), f AS (SELECT source_database_id, count(*) AS n FROM stg_files GROUP BY 1)
+SELECT source_scope, count(*) AS databases, count(*) FILTER (NOT coalesce(bad, false)) AS completed, coalesce(sum(p.n) FILTER (NOT coalesce(bad, false)), 0)::BIGINT AS projects, coalesce(sum(f.n) FILTER (NOT coalesce(bad, false)), 0)::BIGINT AS files
+FROM source_databases LEFT JOIN p USING (source_database_id) LEFT JOIN f USING (source_database_id) GROUP BY 1""",
+    **{
+        f"s_{name}s": f"""WITH v AS (SELECT project_uid, json_extract(raw_project_json, '$.{field}') AS x FROM stg_projects WHERE project_uid IS NOT NULL AND json_valid(raw_project_json)),
+e AS (SELECT project_uid, unnest(CASE json_type(x) WHEN 'ARRAY' THEN json_extract_string(x, '$[*]') WHEN 'OBJECT' THEN [coalesce(json_extract_string(x, '$.id'), json_extract_string(x, '$.name'))] WHEN 'VARCHAR' THEN string_split(x ->> '$', ';') ELSE [x ->> '$'] END) AS t FROM v)
+SELECT DISTINCT project_uid, {strip('t')} AS {name} FROM e WHERE {strip('t')} <> ''"""
+        for name, field in (("keyword", "keywords"), ("license", "license"), ("person", "creators"))
+    },
+    "s_file_class_ids": "SELECT DISTINCT file_uid, 'isic-file:' || sha256(coalesce(project_uid, '') || '|STAGED|' || coalesce(local_path, '')) AS file_class_id FROM stg_files",
+    "l_delivery_files": f"""WITH p AS (SELECT project_uid, row_number() OVER (ORDER BY try_cast(repository_id AS INT), project_uid) AS project_id FROM stg_projects WHERE try_cast(repository_id AS INT) IN (5, 15)),
+f AS (SELECT DISTINCT project_id, file_uid, file_name, file_type, status, {extension('file_name')} IN ({_list(V.PRIMARY_EXTENSIONS)}) AS is_primary FROM stg_files JOIN p USING (project_uid) WHERE file_uid IS NOT NULL)
+SELECT *, row_number() OVER (ORDER BY project_id, file_uid) AS id FROM f""",
+    "l_delivery_types": f"WITH {TYPES}, p AS (SELECT project_uid, row_number() OVER (ORDER BY try_cast(repository_id AS INT), project_uid) AS project_id FROM stg_projects WHERE try_cast(repository_id AS INT) IN (5, 15)) SELECT project_id, project_type, classification_rule FROM p JOIN types USING (project_uid)",
+    "l_delivery_isic": """WITH p AS (SELECT project_uid, row_number() OVER (ORDER BY try_cast(repository_id AS INT), project_uid) AS project_id FROM stg_projects WHERE try_cast(repository_id AS INT) IN (5, 15)),
+c AS (SELECT project_id, primary_section_code, primary_division_code, secondary_division_code, row_number() OVER (PARTITION BY project_id ORDER BY classified_at_utc NULLS FIRST, primary_division_code NULLS FIRST, primary_section_code NULLS FIRST, secondary_division_code NULLS FIRST) AS r FROM isic_project_classifications JOIN p USING (project_uid))
+SELECT * EXCLUDE (r) FROM c WHERE r = 1""",
+    "q_delivery_gate": f"""WITH p AS (SELECT project_uid FROM stg_projects WHERE try_cast(repository_id AS INT) IN (5, 15)),
+f AS (SELECT DISTINCT file_uid, {extension('file_name')} IN ({_list(V.PRIMARY_EXTENSIONS)}) AS prim FROM stg_files JOIN p USING (project_uid) WHERE file_uid IS NOT NULL),
+n AS (SELECT (SELECT count(*) FROM p) AS projects, (SELECT count(*) FROM p WHERE project_uid NOT IN (SELECT project_uid FROM isic_project_classifications WHERE primary_division_code IS NOT NULL AND project_uid IS NOT NULL)) AS unclassified, (SELECT count(*) FROM f) AS files, (SELECT count(*) FILTER (prim) FROM f) AS prim),
+c AS (SELECT unnest([{{'name': 'official_project_count', 'e': projects, 'o': projects}}, {{'name': 'repository_scope', 'e': 0, 'o': 0}}, {{'name': 'project_ids_unique', 'e': projects, 'o': projects}}, {{'name': 'types_complete', 'e': projects, 'o': projects}},
+  {{'name': 'classification_coverage', 'e': 0, 'o': unclassified}}, {{'name': 'file_ids_unique', 'e': files, 'o': files}}, {{'name': 'orphan_file_records', 'e': 0, 'o': 0}}, {{'name': 'primary_file_coverage', 'e': files, 'o': prim}}]) AS x FROM n)
+SELECT x.name AS name, x.e = x.o AS passed, 'error' AS severity, x.e::VARCHAR AS expected, x.o::VARCHAR AS observed FROM c""",
+    "q_isic_distribution": """WITH p AS (SELECT project_uid FROM stg_projects WHERE try_cast(repository_id AS INT) IN (5, 15)),
+c AS (SELECT project_uid, primary_division_code AS d, row_number() OVER (PARTITION BY project_uid ORDER BY classified_at_utc NULLS FIRST, primary_division_code NULLS FIRST) AS r FROM isic_project_classifications JOIN p USING (project_uid)),
+o AS (SELECT coalesce(d, 'none') AS key, count(*) AS value FROM c WHERE r = 1 GROUP BY 1), e AS (SELECT coalesce(d, 'none') AS key, count(*) AS value FROM (SELECT DISTINCT project_uid, d FROM c) GROUP BY 1)
+SELECT 'isic_divisions:' || key AS name, e.value IS NOT DISTINCT FROM o.value AS passed, 'error' AS severity, e.value::VARCHAR AS expected, o.value::VARCHAR AS observed FROM o FULL JOIN e USING (key)""",
+    "l_headline": f"""WITH {TYPES}, f AS (SELECT DISTINCT file_uid, file_name FROM stg_files)
+SELECT 'databases' AS metric, count(*) AS value FROM source_databases UNION ALL SELECT 'contributors', count(DISTINCT source_student_id) FROM source_databases UNION ALL SELECT 'scopes', count(DISTINCT source_scope) FROM source_databases
+UNION ALL SELECT 'projects', count(DISTINCT project_uid) FROM stg_projects UNION ALL SELECT 'classified_projects', count(DISTINCT project_uid) FROM isic_project_classifications
+UNION ALL SELECT 'files', count(*) FROM f UNION ALL SELECT 'primary_files', count(*) FILTER ({extension('file_name')} IN ({_list(V.PRIMARY_EXTENSIONS)})) FROM f UNION ALL SELECT 'type:' || project_type, count(*) FROM types GROUP BY 1""",
+    "c_unconfirmed_extensions": f"WITH {EVIDENCE}, u AS (SELECT project_uid FROM hit WHERE ambiguous AND NOT high AND NOT term) SELECT ext AS extension, count(DISTINCT project_uid) AS projects FROM each_file JOIN u USING (project_uid) WHERE ext IN ({_list(V.AMBIGUOUS_EXTENSIONS)}) GROUP BY 1",
+    "c_unconfirmed_sample": f"""WITH {EVIDENCE}, u AS (SELECT project_uid FROM hit WHERE ambiguous AND NOT high AND NOT term),
+x AS (SELECT project_uid, array_to_string(list_sort(list(DISTINCT ext)), '|') AS extensions FROM each_file WHERE ext IN ({_list(V.AMBIGUOUS_EXTENSIONS)}) GROUP BY 1)
+SELECT project_uid, p.title, x.extensions, f.names AS ambiguous_names FROM u JOIN stg_projects p USING (project_uid) JOIN x USING (project_uid) JOIN facts f USING (project_uid) ORDER BY project_uid LIMIT 100""",
+    "c_division_counts": "SELECT division, count(*) AS projects FROM " + term_classes("stg_projects", "project_uid", "concat_ws(chr(10), title, description)", LEGAL, RESEARCH, False) + " GROUP BY 1",
 }
+ORACLES["c_file_rule_counts"] = f"""SELECT source_scope, division, count(*) FILTER (rule <> 'PROJECT_CONTEXT_FALLBACK') AS direct, count(*) FILTER (rule = 'PROJECT_CONTEXT_FALLBACK') AS fallback
+FROM ({ORACLES['c_document_classes']}) JOIN stg_projects USING (project_uid) JOIN source_databases USING (source_database_id) GROUP BY ALL"""
+
+_METADATA = ("description", "doi", "language", "project_url", "repository_id", "repository_url", "title")
+_OLD_TYPES = TYPES.replace("stg_files", "old_files").replace("stg_projects", "old_projects")
+ORACLES["m_project_fingerprints"] = f"""WITH {TYPES}
+SELECT project_uid, sha256(to_json({{{', '.join(f"'{c}': p.{c}" for c in _METADATA)}}})::VARCHAR) AS metadata_sha256, sha256(to_json({{'classification_rule': t.classification_rule, 'project_type': t.project_type}})::VARCHAR) AS classification_sha256
+FROM stg_projects p JOIN types t USING (project_uid)"""
+ORACLES["m_project_drift"] = f"""WITH last AS (SELECT arg_max(source_database_id, (registered_at_utc, source_database_id)) AS d FROM source_databases GROUP BY source_student_id),
+old_projects AS (SELECT * REPLACE ({strip('title')} AS title) FROM stg_projects WHERE source_database_id IN (SELECT source_database_id FROM source_databases) AND source_database_id NOT IN (SELECT d FROM last)),
+old_files AS (SELECT * FROM stg_files WHERE source_database_id IN (SELECT source_database_id FROM source_databases) AND source_database_id NOT IN (SELECT d FROM last)),
+types_now AS (WITH {TYPES} SELECT * FROM types), types_old AS (WITH {_OLD_TYPES} SELECT * FROM types),
+x AS (SELECT n.project_uid, o.project_uid IS NOT NULL AS known, p.title IS DISTINCT FROM q.title AS meta, (n.project_type, n.classification_rule) IS DISTINCT FROM (o.project_type, o.classification_rule) AS class
+  FROM types_now n JOIN stg_projects p USING (project_uid) LEFT JOIN types_old o USING (project_uid) LEFT JOIN old_projects q USING (project_uid)),
+y AS (SELECT known AND meta AS reclassification_required, CASE WHEN NOT known THEN 'BASELINE_CREATED' WHEN meta AND class THEN 'METADATA_CHANGED|CLASSIFICATION_OUTPUT_CHANGED' WHEN meta THEN 'METADATA_CHANGED' WHEN class THEN 'CLASSIFICATION_OUTPUT_CHANGED' ELSE 'UNCHANGED' END AS reasons FROM x)
+SELECT CASE WHEN reclassification_required THEN 'RECLASSIFICATION_REQUIRED' ELSE reasons END AS status, reclassification_required, reasons, count(*) AS projects FROM y GROUP BY ALL"""

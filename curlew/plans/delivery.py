@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from curlew import vocab as V
+from curlew.functions import text as X
 from curlew.operators.dedup import file_counts
 from curlew.session import materialize
 
@@ -44,6 +45,24 @@ def delivery_projects(projects: DataFrame, types: DataFrame, classes: DataFrame,
     return surrogate_ids(df.join(one, "project_uid", "left"), ["repository_id", "project_uid"])
 
 
+def delivery_tables(projects: DataFrame, types: DataFrame, classes: DataFrame, files: DataFrame, repositories: tuple[int, ...] = (5, 15)) -> dict[str, DataFrame]:
+    """The delivery as tables keyed by surrogate ids: projects, types, isic, files.
+
+    Files are those of delivered projects, a re-delivered one once; their ids follow
+    project id and file_uid. Keys are mapped by one join that also selects, so only
+    rows of delivered projects travel further.
+    """
+    delivered = materialize(delivery_projects(projects, types, classes, repositories), "delivered")
+    keys = delivered.select("project_uid", F.col("id").alias("project_id"))
+    kind = types.select("project_uid", "project_type", "classification_rule").join(keys, "project_uid").select("project_id", "project_type", "classification_rule")
+    order = F.struct("classified_at_utc", "primary_division_code")
+    one = classes.join(keys, "project_uid").groupBy("project_id").agg(F.min(F.struct(order.alias("o"), "primary_section_code", "primary_division_code", "secondary_division_code")).alias("x"))
+    isic = one.select("project_id", "x.primary_section_code", "x.primary_division_code", "x.secondary_division_code")
+    mine = files.where(F.col("file_uid").isNotNull()).select("file_uid", "project_uid", "file_name", "file_type", "status").join(keys, "project_uid").drop("project_uid").distinct()
+    mine = mine.withColumn("is_primary", X.file_extension("file_name").isin(*V.PRIMARY_EXTENSIONS))
+    return {"projects": delivered, "types": kind, "isic": isic, "files": surrogate_ids(mine, ["project_id", "file_uid"])}
+
+
 def surrogate_ids(df: DataFrame, order: list[str], name: str = "id") -> DataFrame:
     """``df`` with ids 1..n in ``order``: range-partitioned and sorted by Spark, numbered by partition offsets."""
     ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_m", F.monotonically_increasing_id())
@@ -54,6 +73,16 @@ def surrogate_ids(df: DataFrame, order: list[str], name: str = "id") -> DataFram
     return ranged.join(offsets, "_p").withColumn(name, F.col("_o") + F.col("_i") + 1).drop("_m", "_p", "_i", "_o")
 
 
+def headline(sources: DataFrame, projects: DataFrame, files: DataFrame, types: DataFrame, classes: DataFrame) -> DataFrame:
+    """(metric, value): the totals a report begins with; a re-delivered file counts once."""
+    rows = lambda df, **m: df.agg(*[c.cast("long").alias(n) for n, c in m.items()]).select(F.explode(F.array(*[F.struct(F.lit(n).alias("metric"), F.col(n).alias("value")) for n in m])).alias("x")).select("x.*")
+    once = files.select("file_uid", "file_name").distinct()
+    by_type = types.groupBy(F.concat(F.lit("type:"), "project_type").alias("metric")).agg(F.count(F.lit(1)).alias("value"))
+    totals = rows(sources, databases=F.count(F.lit(1)), contributors=F.count_distinct("source_student_id"), scopes=F.count_distinct("source_scope"))
+    totals = totals.unionByName(rows(projects, projects=F.count_distinct("project_uid"))).unionByName(rows(classes, classified_projects=F.count_distinct("project_uid")))
+    return totals.unionByName(rows(once, files=F.count(F.lit(1)), primary_files=F.count_if(X.file_extension("file_name").isin(*V.PRIMARY_EXTENSIONS)))).unionByName(by_type)
+
+
 def _ledger_projects(ledger: DataFrame) -> DataFrame:
     repository = F.lower("repository")
     ident, link = F.lit(0), F.lit("")

@@ -15,7 +15,7 @@ from curlew.operators.schema_drift import FILE_FIELDS, PROJECT_FIELDS, consisten
 from curlew.operators.timestamps import normalise_timestamps
 from curlew.oracles import LEGAL, ORACLES, RESEARCH
 from curlew.plans import delivery
-from curlew.session import table
+from curlew.session import materialize, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -174,7 +174,7 @@ def m_run_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def q_dedup_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    decided = _decisions(spark, sf_dir)
+    decided = materialize(_decisions(spark, sf_dir), "decided")  # several checks read it
     return gates.dedup_gate(table(spark, sf_dir, "stg_projects"), decided, dedup.decision_tags(decided))
 
 
@@ -254,10 +254,13 @@ def m_project_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def m_project_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Against a snapshot in which titles were stripped, projects without a DOI weren't there yet, and types came without their files."""
-    projects, files = _tables(spark, sf_dir, "stg_projects", "stg_files")
-    before = projects.where(F.col("doi").isNotNull()).withColumn("title", X.strip("title"))
-    drifted = drift.project_drift(_snapshot(projects, classify.project_types(projects, files)), _snapshot(before, classify.project_types(before, files.limit(0))))
+    """Against the snapshot before each contributor's last delivery, when titles were stripped and later files weren't there yet."""
+    projects, sources, files = _projects_sources_files(spark, sf_dir)
+    last = sources.groupBy("source_student_id").agg(F.max_by("source_database_id", F.struct("registered_at_utc", "source_database_id")).alias("source_database_id"))
+    earlier = sources.select("source_database_id").join(last, "source_database_id", "left_anti")
+    before = projects.join(earlier, "source_database_id", "left_semi").withColumn("title", X.strip("title"))
+    types_before = classify.project_types(before, files.join(earlier, "source_database_id", "left_semi"))
+    drifted = drift.project_drift(_snapshot(projects, classify.project_types(projects, files)), _snapshot(before, types_before))
     return drifted.groupBy("status", "reclassification_required", "reasons").agg(F.count(F.lit(1)).alias("projects"))
 
 
@@ -313,3 +316,119 @@ def l_migrated_projects(spark: SparkSession, sf_dir: str) -> DataFrame:
 def l_migrated_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The files that the migration makes of the whole ledger, counted without fanning links out."""
     return delivery.migrated_file_counts(_ledger(spark, sf_dir))
+
+
+# Stored resolutions, deliveries and reports.
+
+
+@query
+def q_run_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gate over the stored tables of a resolution under the latest run."""
+    runs = table(spark, sf_dir, "deduplication_runs")
+    decided = materialize(_decisions(spark, sf_dir), "decided")
+    tables = dedup.decision_tables(decided, dedup.latest_run(runs).first()["run_id"])
+    return gates.run_gate(table(spark, sf_dir, "stg_projects"), tables, runs)
+
+
+@query
+def q_foreign_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    declared = [
+        ("stg_projects", "source_database_id", "source_databases"), ("stg_files", "source_database_id", "source_databases"), ("stg_files", "project_uid", "stg_projects"), ("duplicate_cluster_members", "project_uid", "stg_projects"),
+        ("deduplication_decisions", "project_uid", "stg_projects"), ("deduplication_decisions", "run_id", "deduplication_runs"), ("isic_project_classifications", "project_uid", "stg_projects"), ("documents", "project_uid", "stg_projects"),
+    ]
+    return gates.foreign_keys({n: table(spark, sf_dir, n) for n in {x for c, _, p in declared for x in (c, p)}}, declared)
+
+
+@query
+def m_run_scopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup.run_scopes(*_tables(spark, sf_dir, "deduplication_runs", "deduplication_decisions"))
+
+
+@query
+def a_import_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    projects, sources, files = _projects_sources_files(spark, sf_dir)
+    return staging.import_totals(staging.import_audit(projects, files, sources), sources)
+
+
+def _members(name: str, field: str) -> Query:
+    def members(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return staging.member_rows(table(spark, sf_dir, "stg_projects"), "raw_project_json", field, "project_uid", name)
+
+    members.__name__ = f"s_{name}s"
+    return members
+
+
+for _name, _field in (("keyword", "keywords"), ("license", "license"), ("person", "creators")):
+    query(_members(_name, _field))
+
+
+@query
+def s_file_class_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = table(spark, sf_dir, "stg_files")
+    return files.select("file_uid", classify.file_class_id(F.col("project_uid"), F.lit("STAGED"), F.col("local_path")).alias("file_class_id")).distinct()
+
+
+def _delivery(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFrame], DataFrame, DataFrame]:
+    projects, files, classes = _tables(spark, sf_dir, "stg_projects", "stg_files", "isic_project_classifications")
+    types = materialize(classify.project_types(projects, files), "types")
+    return delivery.delivery_tables(projects, types, classes, files), types, projects
+
+
+@query
+def l_delivery_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _delivery(spark, sf_dir)[0]["files"]
+
+
+@query
+def l_delivery_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _delivery(spark, sf_dir)[0]["types"]
+
+
+@query
+def l_delivery_isic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _delivery(spark, sf_dir)[0]["isic"]
+
+
+@query
+def q_delivery_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables, types, projects = _delivery(spark, sf_dir)
+    return gates.delivery_gate(tables, types, projects, (5, 15))
+
+
+@query
+def q_isic_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The divisions of delivered projects against all known labels of the repositories' projects."""
+    tables, _, projects = _delivery(spark, sf_dir)
+    label = F.coalesce("primary_division_code", F.lit("none")).alias("key")
+    count = lambda df: df.groupBy(label).agg(F.count(F.lit(1)).alias("value"))
+    official = projects.where(F.col("repository_id").try_cast("int").isin(5, 15)).select("project_uid")
+    known = table(spark, sf_dir, "isic_project_classifications").join(official, "project_uid", "left_semi").select("project_uid", "primary_division_code").distinct()
+    return gates.distribution_gate(count(tables["isic"]), count(known), "isic_divisions")
+
+
+@query
+def l_headline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    projects, sources, files = _projects_sources_files(spark, sf_dir)
+    return delivery.headline(sources, projects, files, classify.project_types(projects, files), table(spark, sf_dir, "isic_project_classifications"))
+
+
+@query
+def c_unconfirmed_extensions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify.unconfirmed_extensions(classify.unconfirmed(*_tables(spark, sf_dir, "stg_projects", "stg_files")))
+
+
+@query
+def c_unconfirmed_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sample of a hundred that the audit shows."""
+    return classify.unconfirmed_sample(classify.unconfirmed(*_tables(spark, sf_dir, "stg_projects", "stg_files")))
+
+
+@query
+def c_division_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify.division_counts(c_project_term_classes(spark, sf_dir))
+
+
+@query
+def c_file_rule_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    projects, sources = _tables(spark, sf_dir, "stg_projects", "source_databases")
+    return classify.file_rule_counts(c_document_classes(spark, sf_dir), projects, sources)

@@ -30,8 +30,10 @@ def _pdf_text(data: bytes, pages: int) -> str:
 
 
 def _decoded(name: str, data: bytes, pages: int) -> tuple[str | None, str | None]:
-    """(text, status) of a primary text file; other entries have neither."""
+    """(text, status) of a project file or a primary text file; other entries have neither."""
     lower = name.lower()
+    if lower.endswith(".qde"):
+        return data.decode("utf-8", "replace"), None
     if not lower.startswith("sources/") or not lower.endswith((".txt", ".pdf")):
         return None, None
     try:
@@ -83,6 +85,16 @@ def file_totals(entries: DataFrame) -> DataFrame:
     return entries.groupBy("archive").agg(F.count_if(is_counted()).alias("total_internal_files"), F.count_if(is_counted() & F.lower("entry").endswith(".qde")).alias("project_files"), F.count_if(is_primary()).alias("primary_files"))
 
 
+def project_contents(entries: DataFrame) -> DataFrame:
+    """(archive, project_text, primary_files): the texts of an archive's project files by path, and the paths of its primary files.
+
+    Both lists are as long as one archive's entries.
+    """
+    text = F.array_sort(F.collect_list(F.when(F.lower("entry").endswith(".qde"), F.struct("entry", "text"))))
+    grouped = entries.groupBy("archive").agg(text.alias("t"), F.array_sort(F.collect_list(F.when(is_primary(), F.col("entry")))).alias("primary_files"))
+    return grouped.select("archive", F.array_join(F.transform("t", lambda x: x["text"]), "\n").alias("project_text"), "primary_files")
+
+
 def extension_totals(entries: DataFrame) -> DataFrame:
     ext = F.coalesce(F.nullif(X.file_extension("entry"), F.lit("")), F.lit("[no extension]"))
     return entries.where(is_counted()).groupBy("archive", ext.alias("extension")).agg(F.count(F.lit(1)).alias("files"))

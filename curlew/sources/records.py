@@ -61,10 +61,31 @@ def repository_files(responses: DataFrame, extensions: tuple[str, ...]) -> DataF
 
 
 def catalog_files(files: DataFrame) -> DataFrame:
-    """(student_id, path, bytes) of database files (path, length), sidecars left out, in numeric order of id by sorting on read."""
+    """(student_id, path, bytes) of database files (path, length), sidecars left out; ``by_id`` orders them."""
     name = F.regexp_extract("path", r"([^/]*)$", 1)
     return files.where(F.lower(name).rlike(r"\.(db|sqlite|sqlite3)$")).select(X.leading_id(name).alias("student_id"), "path", F.col("length").alias("bytes"))
 
 
+def by_id(catalog: DataFrame) -> DataFrame:
+    """The catalog in numeric order of its ids, ids that aren't numbers last."""
+    return catalog.orderBy(F.col("student_id").try_cast("bigint").asc_nulls_last(), "student_id", "path")
+
+
+def exactly_one(rows: DataFrame, what: str) -> DataFrame:
+    """``rows`` if it is one, an error otherwise."""
+    found = rows.limit(2).count()
+    if found != 1:
+        raise ValueError(f"expected exactly one {what}, found {'none' if not found else 'several'}")
+    return rows
+
+
+def probe_list(registry: DataFrame, students: tuple[str, ...] = (), limit: int | None = None, order: str = "registry_row") -> DataFrame:
+    """The registry rows to probe: those of the ``students`` (all, if none are named), the first ``limit`` in registry order."""
+    if limit is not None and limit < 1:
+        raise ValueError("limit must be 1 or more")
+    df = registry.where(F.col("student_id").isin(*students)) if students else registry
+    return df if limit is None else df.orderBy(order).limit(limit)
+
+
 def catalog_summary(catalog: DataFrame) -> DataFrame:
     return catalog.agg(F.count(F.lit(1)).alias("databases"), F.count_distinct("student_id").alias("students"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"), F.round(F.coalesce(F.sum("bytes"), F.lit(0)) / 1024 / 1024, 2).alias("mib"))

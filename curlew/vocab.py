@@ -31,8 +31,6 @@ TITLE_LENGTH = 20
 # The two term lists of the context classifier.
 LEGAL_TERMS = ("international criminal law", "charging document", "prosecution", "appeals briefs", "appeal ground", "defendant", "international criminal court", "icc", "ictr", "scsl")
 RESEARCH_TERMS = ("aireas", "safecast", "citizen sensing", "risk governance", "responses survey", "environmental risk")
-LEGAL_TAGS = ("international-criminal-law", "legal-documents", "qualitative-coding")
-RESEARCH_TAGS = ("citizen-sensing", "environmental-risk", "survey-research")
 
 # Repositories of the acquisition ledger.
 LEDGER_REPOSITORIES = {"dans": (5, "https://dans.knaw.nl/en/"), "icpsr": (15, "https://icpsr.umich.edu/"), "zenodo": (99, "https://zenodo.org/")}

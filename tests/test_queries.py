@@ -8,9 +8,11 @@ from types import SimpleNamespace
 import pytest
 from oracle import SF_DIR, both
 
-from curlew.queries import ORACLES, QUERIES
+from curlew import acquisition_queries as acquisition
+from curlew import queries as core
 from curlew.session import materialize, release, shared_dir
 
+QUERIES, ORACLES = core.QUERIES | acquisition.QUERIES, core.ORACLES | acquisition.ORACLES
 needs_data = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables here")
 
 
@@ -40,6 +42,10 @@ def test_migrated_file_counts_are_those_of_the_migration(spark):
 
 
 def test_entry_without_the_llm_subpackage():
+    broken = "import sys; sys.modules['regex'] = None\nimport __spark_entry__ as e\ntry:\n    e.queries()\nexcept ModuleNotFoundError as x:\n    assert x.name == 'regex'\nelse:\n    raise SystemExit('a missing library must not pass for a missing subpackage')"
+    here = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    if os.path.isdir(os.path.join(here, "curlew", "llm")):
+        subprocess.run([sys.executable, "-c", broken], cwd=here, check=True)
     code = "import sys; sys.modules['curlew.llm'] = None\nimport __spark_entry__ as e\nassert not any(k.startswith('p1_') for k in e.queries()) and set(e.oracle_sql()) <= set(e.queries())"
     subprocess.run([sys.executable, "-c", code], cwd=os.path.dirname(os.path.dirname(os.path.abspath(__file__))), check=True)
 
