@@ -14,6 +14,7 @@ from pyspark.sql.window import Window
 
 from curlew import vocab as V
 from curlew.functions import text as X
+from curlew.operators.numbering import ranks
 
 
 def filled(c: str) -> Column:
@@ -66,21 +67,23 @@ def candidates(projects: DataFrame, sources: DataFrame, files: DataFrame) -> Dat
     return keyed.join(profiles, "source_database_id").join(file_counts(files), "project_uid", "left").withColumn("file_count", F.coalesce("file_count", F.lit(0)))
 
 
-def registry_order() -> list[Column]:
+def registry_keys() -> list[Column]:
+    """The order of a cluster's records: the core scope first, then the richer record, then the smaller uid."""
     score = F.col("has_description").cast("int") + F.col("has_project_url").cast("int") + F.col("has_doi").cast("int") + F.least(F.lit(3), F.col("file_count"))
-    return [F.when(F.col("source_scope") == "MY_CORE", 0).otherwise(1).asc(), score.desc(), F.col("project_uid").asc()]
+    return [F.when(F.col("source_scope") == "MY_CORE", 0).otherwise(1), -score, F.col("project_uid")]
 
 
 def cluster_members(found: DataFrame, least_contributors: int = 2) -> DataFrame:
     """Members of groups of equal keys from several contributors, ranked; the first is canonical."""
     groups = found.groupBy("doi_key", "title_key").agg(F.count_distinct("source_student_id").alias("n")).where(F.col("n") >= least_contributors).drop("n")
-    rank = F.row_number().over(Window.partitionBy("doi_key", "title_key").orderBy(*registry_order())).cast("long")
-    return found.join(groups, ["doi_key", "title_key"]).withColumn("member_rank", rank).withColumn("is_canonical", (F.col("member_rank") == 1).cast("long")).withColumn("cluster_id", X.cluster_id(F.col("doi_key"), F.col("title_key")))
+    members = found.join(groups, ["doi_key", "title_key"]).withColumns({f"_k{i}": k for i, k in enumerate(registry_keys())})
+    ranked = ranks(members, ["doi_key", "title_key"], ["_k0", "_k1", "_k2"], "member_rank").drop("_k0", "_k1", "_k2")
+    return ranked.withColumn("is_canonical", (F.col("member_rank") == 1).cast("long")).withColumn("cluster_id", X.cluster_id(F.col("doi_key"), F.col("title_key")))
 
 
 def clusters(found: DataFrame, least_contributors: int = 2) -> DataFrame:
     """Candidate clusters with their statistics and canonical record, by aggregation alone."""
-    keys = [F.when(F.col("source_scope") == "MY_CORE", 0).otherwise(1), -(F.col("has_description").cast("int") + F.col("has_project_url").cast("int") + F.col("has_doi").cast("int") + F.least(F.lit(3), F.col("file_count"))), F.col("project_uid")]
+    keys = registry_keys()
     grouped = found.groupBy("doi_key", "title_key").agg(
         F.count(F.lit(1)).alias("raw_member_count"), F.count_distinct("source_database_id").alias("unique_source_count"),
         F.count_distinct("source_student_id").alias("unique_student_count"), F.count_distinct("repository_id").alias("unique_repository_count"),

@@ -57,16 +57,19 @@ CASCADE = (
     ("t", rf"(?U)^(?:[^\W\d_]{{3,10}}\.?,?\s+)?(\d{{1,2}})(?:\.\s*|\s+|-){_NAME}(?:\s+|-)(\d{{4}})(?:,?\s+{_CLOCK}{_AMPM}{_ZONE})?$", "t|$3|$2|$1|$4|$5|$6|$7|$8|$9"),
     ("t", rf"(?U)^{_NAME}\s+(\d{{1,2}}),?\s+(\d{{4}})(?:,?\s+{_CLOCK}{_AMPM}{_ZONE})?$", "t|$3|$1|$2|$4|$5|$6|$7|$8|$9"),
 )
+DOTTED = r"^(\d{1,2})\."
 
 
 def _int(c: Column) -> Column:
     return c.try_cast("int")
 
 
-def canonical_parts(value: Column) -> Column:
+def canonical_parts(value: Column, dotted_by_source: bool = False) -> Column:
     """The cascade: ``value`` as ``kind|y|m|d|h|mi|s|fraction|am/pm|zone``, or null."""
     out = None
     for _, pattern, replacement in CASCADE:
+        if dotted_by_source and pattern.startswith(DOTTED):
+            replacement = "n" + replacement[1:]
         hit, text = value.rlike(pattern), F.regexp_replace(value, F.lit(pattern), F.lit(replacement))
         out = F.when(hit, text) if out is None else out.when(hit, text)
     return out
@@ -83,13 +86,15 @@ def normalise_timestamps(
     key: str = "project_uid",
     source: str = "source_database_id",
     fields: tuple[str, ...] = ("upload_date", "download_date"),
+    dotted_by_source: bool = False,
 ) -> DataFrame:
     """(key, field_name, utc_us): microseconds since 1970 of each value of ``fields`` that names an instant.
 
     ``clocks`` has one row per source: ``time_zone`` (IANA name) and
     ``numeric_date_order`` (DMY or MDY). Its size decides the join: small tables
     are broadcast by Spark's own threshold, larger ones shuffle with AQE's skew
-    splitting. Repeated clock rows of a source count once (the smallest).
+    splitting. Repeated clock rows of a source count once (the smallest). Dotted days
+    come day first, unless ``dotted_by_source`` gives them the source's order too.
     """
     spark = rows.sparkSession
     known = F.array(*[F.lit(z) for z in zone_ids(spark)])
@@ -105,7 +110,7 @@ def normalise_timestamps(
         .select(F.col(key).alias("_key"), F.col(source).alias("_src"), F.explode(F.array(*[F.struct(F.lit(f).alias("f"), F.col(f).cast("string").alias("v")) for f in fields])).alias("_x"))
         .select("_key", "_src", F.col("_x.f").alias("_field"), F.regexp_replace(F.col("_x.v"), r"(?U)^[\s​﻿]+|[\s​﻿]+$", "").alias("_v"))
         .where(F.col("_v").rlike(r"\d"))
-        .withColumn("_p", F.split(canonical_parts(F.col("_v")), r"\|"))
+        .withColumn("_p", F.split(canonical_parts(F.col("_v"), dotted_by_source), r"\|"))
     )
     df = values.join(clock, "_src", "left")
     part = lambda i: F.nullif(F.get("_p", F.lit(i)), F.lit(""))

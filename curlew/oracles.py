@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from curlew import vocab as V
-from curlew.operators.timestamps import CASCADE, MONTHS, SUMMER_ZONE
 
 
 def _list(values) -> str:
@@ -177,18 +176,34 @@ SELECT s.{key}, s.source_database_id, {', '.join(f's.{c}' for c in staged)}, CAS
 FROM (SELECT *, row_number() OVER () AS r FROM {table}) s JOIN {entity}_rows USING (r) LEFT JOIN kept USING (r)"""
 
 
-def timestamps(fields: tuple[str, ...] = ("upload_date", "download_date")) -> str:
-    """The cascade's patterns in RE2's spelling; zones and clock changes by the database's own calendar."""
+#: Spellings of a day with or without a clock, as kind, the groups that hold year, month and day, and the pattern of the day in RE2's spelling.
+_DAYS = (
+    ("t", "123", r"(\d{4})[-/.](\d\d?)[-/.](\d\d?)", r"(?:[Tt]|\s+)"),
+    ("t", "321", r"(\d\d?)\.(\d\d?)\.(\d{4})", r",?(?:[Tt]|\s+)"),
+    ("n", "321", r"(\d\d?)[-/](\d\d?)[-/](\d{4})", r",?(?:[Tt]|\s+)"),
+    ("t", "321", r"(?:\p{L}{3,10}\.?,?\s+)?(\d\d?)(?:\.\s*|\s+|-)(\p{L}{3,10})\.?(?:\s+|-)(\d{4})", r",?\s+"),
+    ("t", "312", r"(\p{L}{3,10})\.?\s+(\d\d?),?\s+(\d{4})", r",?\s+"),
+)
+_CLOCK = r"(\d\d?):(\d\d)(?::(\d\d)(?:[.,](\d+))?)?(?:\s*([AaPp])\.?[Mm]\.?)?"
+_PLACE = r"(?:\s*(Z|z|[+-]\d\d:?\d\d(?::?\d\d)?|[+-]\d\d?|(?:UTC|GMT)[+-]\d\d?(?::?\d\d)?|[A-Z]{2,5}))?(?:\[[^\]]*\])?"
+_MONTH_WORDS = "january jan januar januari jänner|february feb februar februari|march mar märz mär mrz maart mrt|april apr|may mai mei|june jun juni|july jul juli|august aug augustus|september sep sept|october oct oktober okt|november nov|december dec dezember dez"
+_SUMMER = "^(?:[A-Z]*DT|CEST|EEST|WEST|MEST|BST)$"
 
-    def part(pattern: str, place: str) -> str:
-        return f"regexp_extract(v, '{pattern}', {place[1:]})" if place.startswith("$") else f"'{place}'"
 
+def timestamps(fields: tuple[str, ...] = ("upload_date", "download_date")) -> str:
+    """Spellings tried in order; zones and clock changes by the database's own calendar."""
     names = ("kind", "y", "mo", "d", "h", "mi", "s", "us", "half", "zone")
-    cases = ""
-    for _, pattern, replacement in CASCADE:
-        re2 = pattern.replace("(?U)", "").replace(r"[^\W\d_]", r"\p{L}").replace("'", "''")
-        cases += f" WHEN regexp_matches(v, '{re2}') THEN {{{', '.join(f'{chr(39)}{n}{chr(39)}: {part(re2, p)}' for n, p in zip(names, replacement.split('|')))}}}"
-    month = "coalesce(try_cast(mo AS INT), CASE " + " ".join(f"WHEN lower(mo) IN ({_list(forms)}) THEN {i + 1}" for i, forms in enumerate(MONTHS)) + " END)"
+
+    def case(pattern: str, *parts: str) -> str:
+        said = [f"regexp_extract(v, '{pattern}', {p})" if p.isdigit() else f"'{p}'" for p in parts]
+        return f" WHEN regexp_matches(v, '{pattern}') THEN {{{', '.join(f'{chr(39)}{n}{chr(39)}: {x}' for n, x in zip(names, said))}}}"
+
+    cases = case(r"^(\d{9,10}|\d{12,13}|\d{15,16}|\d{18,19})$", "e", "1", *[""] * 8)
+    cases += case(rf"^(\d{{4}})(\d\d)(\d\d)(?:[Tt ]?(\d\d)(\d\d)(\d\d)?(?:[.,](\d+))?{_PLACE})?$", "t", "1", "2", "3", "4", "5", "6", "7", "", "8")
+    for kind, order, day, gap in _DAYS:
+        cases += case(f"^{day}(?:{gap}{_CLOCK}{_PLACE})?$", kind, *order, "4", "5", "6", "7", "8", "9")
+    months = [m.split() for m in _MONTH_WORDS.split("|")]
+    month = "coalesce(try_cast(mo AS INT), CASE " + " ".join(f"WHEN lower(mo) IN ({_list(forms)}) THEN {i + 1}" for i, forms in enumerate(months)) + " END)"
     number = lambda c: f"coalesce(try_cast(nullif({c}, '') AS BIGINT), 0)"
     values = " UNION ALL ".join(f"SELECT project_uid, source_database_id, '{f}' AS field_name, regexp_replace({f}, '^[\\s\\p{{Z}}\\x{{200b}}\\x{{feff}}]+|[\\s\\p{{Z}}\\x{{200b}}\\x{{feff}}]+$', '', 'g') AS v FROM stg_projects WHERE {f} IS NOT NULL AND project_uid IS NOT NULL" for f in fields)
     return f"""
@@ -210,7 +225,7 @@ SELECT DISTINCT project_uid, field_name, CASE
     WHEN zone = '' THEN epoch_us(CASE WHEN timezone(tz, late - INTERVAL 1 HOUR) = t THEN late - INTERVAL 1 HOUR ELSE late END)
     WHEN zone IN ('Z', 'UTC', 'GMT', 'UT') THEN us0
     WHEN oh IS NOT NULL THEN us0 - (abs(oh::BIGINT) * 60 + coalesce(om::BIGINT, 0)) * 60000000 * CASE WHEN oh LIKE '-%' THEN -1 ELSE 1 END
-    WHEN regexp_matches(zone, '{SUMMER_ZONE}') THEN us0 + least(w, u) ELSE us0 + greatest(w, u) END AS utc_us
+    WHEN regexp_matches(zone, '{_SUMMER}') THEN us0 + least(w, u) ELSE us0 + greatest(w, u) END AS utc_us
 FROM placed WHERE utc_us IS NOT NULL"""
 
 

@@ -9,6 +9,7 @@ from pyspark.sql.window import Window
 from curlew import vocab as V
 from curlew.functions import text as X
 from curlew.operators.dedup import file_counts
+from curlew.operators.numbering import surrogate_ids
 from curlew.session import materialize
 
 
@@ -63,16 +64,6 @@ def delivery_tables(projects: DataFrame, types: DataFrame, classes: DataFrame, f
     return {"projects": delivered, "types": kind, "isic": isic, "files": surrogate_ids(mine, ["project_id", "file_uid"])}
 
 
-def surrogate_ids(df: DataFrame, order: list[str], name: str = "id") -> DataFrame:
-    """``df`` with ids 1..n in ``order``: range-partitioned and sorted by Spark, numbered by partition offsets."""
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_m", F.monotonically_increasing_id())
-    ranged = ranged.withColumn("_p", F.shiftright("_m", 33)).withColumn("_i", F.col("_m").bitwiseAND(F.lit((1 << 33) - 1)))
-    ranged = materialize(ranged, "ranged")  # partition numbers must not change when a task runs again
-    sizes = ranged.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = sizes.select("_p", (F.sum("_n").over(Window.orderBy("_p")) - F.col("_n")).alias("_o"))  # one row for each partition
-    return ranged.join(offsets, "_p").withColumn(name, F.col("_o") + F.col("_i") + 1).drop("_m", "_p", "_i", "_o")
-
-
 def headline(sources: DataFrame, projects: DataFrame, files: DataFrame, types: DataFrame, classes: DataFrame) -> DataFrame:
     """(metric, value): the totals a report begins with; a re-delivered file counts once."""
     rows = lambda df, **m: df.agg(*[c.cast("long").alias(n) for n, c in m.items()]).select(F.explode(F.array(*[F.struct(F.lit(n).alias("metric"), F.col(n).alias("value")) for n in m])).alias("x")).select("x.*")

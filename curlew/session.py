@@ -61,6 +61,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     (broadcast, skew splitting) and a lost executor re-runs no earlier stage.
     """
     spark = df.sparkSession
+    importable(spark)
     path = f"{_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

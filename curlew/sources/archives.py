@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from curlew import vocab as V
 from curlew.functions import text as X
+from curlew.session import importable
 
 ENTRIES = "archive string, status string, entry string, crc long, size long, compressed long, is_dir boolean, sha256 string, text string, text_status string"
 TEXT_LIMIT = 20_000
@@ -47,6 +48,8 @@ def _decoded(name: str, data: bytes, pages: int) -> tuple[str | None, str | None
 def read_entries(files: DataFrame, pages: int = 3) -> DataFrame:
     """One row for each entry of (path, content) rows; a file that isn't a ZIP is one row with its status."""
 
+    importable(files.sparkSession)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []

@@ -18,6 +18,8 @@ from collections.abc import Iterator
 from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from curlew.session import importable
+
 BATCH = 1000
 
 
@@ -114,4 +116,5 @@ class SqliteReadOnly(DataSource):
 
 
 def register(spark: SparkSession) -> None:
+    importable(spark)
     spark.dataSource.register(SqliteReadOnly)

@@ -90,3 +90,11 @@ def test_empty_and_repeated_rows(spark):
     twice = spark.createDataFrame([("p", 1, "2018-02-03", "2018-02-03", "x")] * 2 + [(None, 1, "2018-02-03", None, "x")], ROWS)
     assert sorted(r[1] for r in normalise_timestamps(twice, clocks).collect()) == ["download_date", "upload_date"]
     assert normalise_timestamps(twice, clocks.limit(0)).count() == 0
+
+
+def test_dotted_days_may_follow_the_source(spark):
+    clocks = spark.createDataFrame([(1, AMS, "MDY")], CLOCKS)
+    rows = spark.createDataFrame([("p", 1, "02.03.2018", "2018-02-03", "x"), ("q", 1, "31.01.2018", None, "x")], ROWS)
+    day = lambda **options: {(r[0], r[1]): r[2] for r in normalise_timestamps(rows, clocks, **options).collect()}
+    assert day()["p", "upload_date"] - day()["p", "download_date"] == 27 * 86_400_000_000 and ("q", "upload_date") in day()
+    assert day(dotted_by_source=True)["p", "upload_date"] == day()["p", "download_date"] and ("q", "upload_date") not in day(dotted_by_source=True)
