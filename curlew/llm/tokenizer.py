@@ -26,6 +26,8 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from curlew.session import importable
+
 # Fixed value: the byte-level vocabularies' published pre-token pattern.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Words that a worker remembers; beyond it the memory starts afresh (the result is the same).
@@ -323,7 +325,8 @@ def encoder(broadcast) -> Encoder:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Bound Arrow batches by bytes where that bound, which Spark sets by default, was lifted."""
+    """Ready a session for Python stages: workers find this package, and Arrow batches are bounded by bytes where that bound, Spark's default, was lifted."""
+    importable(spark)
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
     if spark.conf.get(key) in ("-1", str((1 << 31) - 1), str((1 << 63) - 1)):
         spark.conf.set(key, str(BATCH_BYTES))
