@@ -18,8 +18,9 @@ from pyspark.sql import functions as F
 
 from curlew.functions import text as X
 from curlew.functions import urls as U
-from curlew.operators import catalog, dedup
+from curlew.operators import catalog, classify, dedup, drift
 from curlew.oracles import strip
+from curlew.plans import delivery
 from curlew.session import materialize, shared_dir, table
 from curlew.sources import archives, ledger, records, responses, sqlite_ro, stored
 
@@ -364,3 +365,58 @@ SELECT project_uid, coalesce(nullif(left({_SLUG}, 80), ''), 'dataset') AS slug,
   replace(replace(replace(replace(replace(coalesce({strip('title')}, ''), '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), chr(39), '&#x27;') AS escaped, concat_ws(':', project_uid, source_table_name) AS uid FROM stg_projects""")
 def x_name_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "stg_projects").select("project_uid", X.slug("title").alias("slug"), X.html_escape("title").alias("escaped"), X.entity_uid("project_uid", "source_table_name").alias("uid"))
+
+
+@query(r"""
+WITH u AS (SELECT coalesce(project_url, '') AS url FROM stg_projects)
+SELECT url, regexp_replace(url, ';jsessionid=[^?]+', '', 'g') AS plain, regexp_replace(url, '(?i)^https://(?:raw\.githubusercontent|github)\.com/([^/]+)/([^/]+)/blob/([^/]+)/(.+)$', 'https://raw.githubusercontent.com/\1/\2/\3/\4') AS raw,
+  regexp_replace(regexp_extract(regexp_replace(regexp_replace(url, '(?s)[?#].*$', ''), '(?i)^[a-z][a-z0-9+.\-]*://[^/]*', ''), '([^/]*)$', 1), '[^A-Za-z0-9._\-]', '_', 'g') AS name, count(*) AS projects FROM u GROUP BY 1""")
+def x_link_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    links = table(spark, sf_dir, "stg_projects").groupBy(F.coalesce("project_url", F.lit("")).alias("url")).agg(F.count(F.lit(1)).alias("projects"))
+    return links.select("url", U.without_session("url").alias("plain"), U.raw_file_url("url").alias("raw"), U.safe_file_name("url").alias("name"), "projects")
+
+
+@query(rf"""
+SELECT doc_id, coalesce({strip('text')}, '') AS cleaned, left({strip("regexp_replace(replace(text, chr(0), ' '), '[" + chr(92) + "s" + chr(92) + "p{Z}" + chr(92) + "x{85}" + chr(92) + "x{1c}-" + chr(92) + "x{1f}]+', ' ', 'g')")}, 20000) AS limited, nullif(regexp_extract(project_uid, '^([0-9]+)(?:[_.-]|$)', 1), '') AS leading FROM documents""")
+def x_clean_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cleaning of whole texts, and the bounded text of extraction, whose limit is the feature."""
+    return table(spark, sf_dir, "documents").select("doc_id", X.clean_text("text").alias("cleaned"), X.normal_text("text").alias("limited"), X.leading_id("project_uid").alias("leading"))
+
+
+@query(r"""
+WITH r AS (SELECT regexp_replace(source_student_id, '\.0$', '') AS id, coalesce(local_path, '') AS url FROM source_databases), c AS (SELECT id, count(*) AS n FROM r GROUP BY 1)
+SELECT unnest(['rows', 'valid', 'students', 'repeated', 'linked', 'repaired']) AS measure, unnest([count(*), count(*) FILTER (regexp_matches(id, '^\d{6,}$')), count(DISTINCT CASE WHEN regexp_matches(id, '^\d{6,}$') THEN id END), count(*) FILTER (n > 1), count(*) FILTER (trim(url) <> ''), 0]) AS value FROM r JOIN c USING (id)""")
+def a_registry_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "source_databases").select(F.col("source_student_id").alias("student_id"), F.col("local_path").alias("metadata_url"), F.col("source_notes").alias("base_data"))
+    return records.registry_summary(records.registry(rows))
+
+
+@query("SELECT source_database_id::VARCHAR AS source_database_id, coalesce(source_student_id, '') AS source_student_id, coalesce(source_notes, '') AS source_notes FROM source_databases")
+def t_csv_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A report written as CSV and read again, all columns as text."""
+    rows = table(spark, sf_dir, "source_databases").select("source_database_id", "source_student_id", "source_notes")
+    folder = f"{shared_dir(spark)}/curlew/{spark.sparkContext.applicationId}/report-{uuid.uuid4().hex}"
+    records.write_report(rows, rows.agg(F.count(F.lit(1)).alias("databases")), folder)
+    return records.read_csv_strings(spark, f"{folder}/rows", ("source_database_id", "source_notes"))
+
+
+@query("""
+SELECT CASE source_database_id % 5 WHEN 0 THEN 'BASELINE_CREATED' WHEN 1 THEN 'UNCHANGED' ELSE 'RECLASSIFICATION_REQUIRED' END AS status,
+  CASE source_database_id % 5 WHEN 0 THEN 'BASELINE_CREATED' WHEN 1 THEN 'UNCHANGED' WHEN 2 THEN 'ARCHIVE_CHANGED' WHEN 3 THEN 'INTERNAL_MANIFEST_CHANGED|STATUS_CHANGED' ELSE 'STATUS_CHANGED' END AS reasons, count(*) AS archives FROM source_databases GROUP BY ALL""")
+def m_archive_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Source databases as archives against a snapshot in which some were missing, changed, or had another status."""
+    df = table(spark, sf_dir, "source_databases").select(F.col("source_database_id").alias("archive"), F.coalesce("source_sha256", F.lit("-")).alias("archive_sha256"), F.coalesce("source_schema_signature", F.lit("-")).alias("manifest_sha256"), F.lit("OK").alias("zip_status"))
+    turn = F.col("archive") % 5
+    other = lambda c, *turns: F.when(turn.isin(*turns), F.concat(F.lit("before "), c)).otherwise(F.col(c)).alias(c)
+    before = df.where(turn != 0).select("archive", other("archive_sha256", 2), other("manifest_sha256", 3), other("zip_status", 3, 4))
+    return drift.archive_drift(df, before).groupBy("status", "reasons").agg(F.count(F.lit(1)).alias("archives"))
+
+
+@query("""
+WITH f AS (SELECT project_uid, count(DISTINCT file_uid) AS n FROM stg_files WHERE project_uid IS NOT NULL GROUP BY 1), m AS (SELECT DISTINCT title FROM stg_projects WHERE source_database_id % 2 = 0)
+SELECT p.project_uid, coalesce(f.n, 0) AS file_count, CASE WHEN m.title IS NOT NULL THEN 7 ELSE coalesce(f.n, 0) END::BIGINT AS no_project_files FROM stg_projects p LEFT JOIN f USING (project_uid) LEFT JOIN m ON m.title = p.title""")
+def l_export_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Export rows whose file count gives way to a manifest, made for the titles of every second source."""
+    projects, files = (table(spark, sf_dir, n) for n in ("stg_projects", "stg_files"))
+    manifest = projects.where(F.col("source_database_id") % 2 == 0).select("title", F.lit(7).cast("long").alias("total_internal_files"))
+    return delivery.export_rows(projects, files, classify.project_types(projects, files), manifest).select("project_uid", "file_count", "no_project_files")

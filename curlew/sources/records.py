@@ -35,6 +35,23 @@ def registry(rows: DataFrame) -> DataFrame:
     return df.withColumn("copies", F.count(F.lit(1)).over(Window.partitionBy("student_id")))
 
 
+def registry_summary(found: DataFrame) -> DataFrame:
+    """(measure, value) of a read registry: rows, valid ids, different ids, repeated ids, rows with a link, repaired links."""
+    linked = F.coalesce(F.col("metadata_url") != "", F.lit(False))
+    counts = {
+        "rows": F.count(F.lit(1)), "valid": F.count_if("valid"), "students": F.count_distinct(F.when(F.col("valid"), F.col("student_id"))),
+        "repeated": F.count_if(F.col("copies") > 1), "linked": F.count_if(linked), "repaired": F.count_if("url_changed"),
+    }
+    one = found.agg(*[c.alias(n) for n, c in counts.items()])
+    return one.select(F.explode(F.array(*[F.struct(F.lit(n).alias("measure"), F.col(n).alias("value")) for n in counts])).alias("x")).select("x.*")
+
+
+def write_report(rows: DataFrame, summary: DataFrame, folder: str) -> None:
+    """A report as CSV with a header, and its summary of one row as JSON beside it; both replace what was there."""
+    rows.write.mode("overwrite").option("header", True).option("escape", '"').csv(f"{folder}/rows")
+    summary.coalesce(1).write.mode("overwrite").json(f"{folder}/summary")
+
+
 def anchors(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
     """(key, href, label, kind): the links of pages as download, metadata or other, session ids removed, first of each link kept."""
     found = F.arrays_zip(F.regexp_extract_all(html, F.lit(ANCHOR), F.lit(1)).alias("href"), F.regexp_extract_all(html, F.lit(ANCHOR), F.lit(2)).alias("label"))
