@@ -238,6 +238,18 @@ def linked(rows: DataFrame, key: str, title: str, description: str, min_words: i
     return Linked(members, classes, materialize(verified(materialize(near, "candidates"), classes, least), "found"))
 
 
+def belonging(members: DataFrame, classes: DataFrame, key: str) -> DataFrame:
+    """(key, class_key, copies) of each record that takes part."""
+    each = members.select("text_key", "key").distinct().join(classes.select("text_key", F.col("rep").alias("class_key")), "text_key")
+    sizes = each.groupBy("class_key").agg(F.count(F.lit(1)).alias("copies"))
+    return each.join(sizes, "class_key").select(F.col("key").alias(key), "class_key", "copies")
+
+
+def record_classes(rows: DataFrame, key: str = "project_uid", title: str = "title", description: str = "description", min_words: int = 30) -> DataFrame:
+    """The membership of ``near_duplicate_classes`` by itself, without a search for links."""
+    return belonging(*text_classes(rows, key, title, description, min_words), key)
+
+
 def near_duplicate_classes(
     rows: DataFrame,
     key: str = "project_uid",
@@ -259,12 +271,9 @@ def near_duplicate_classes(
     (see ``near_duplicates``) have no class.
     """
     members, classes, links = linked(rows, key, title, description, min_words, least, bands, band_rows, max_weight, hot, block)
-    of_text = classes.select("text_key", F.col("rep").alias("class_key"))
-    belonging = members.select("text_key", "key").distinct().join(of_text, "text_key")
-    sizes = belonging.groupBy("class_key").agg(F.count(F.lit(1)).alias("copies"))
     names = lambda n: classes.select(F.col("id").alias(n), F.col("rep").alias(f"class_key_{n}"))
     named = links.join(names("a"), "a").join(names("b"), "b").select(F.least("class_key_a", "class_key_b").alias("class_key_a"), F.greatest("class_key_a", "class_key_b").alias("class_key_b"), "agreement")
-    return belonging.join(sizes, "class_key").select(F.col("key").alias(key), "class_key", "copies"), named
+    return belonging(members, classes, key), named
 
 
 def near_duplicates(

@@ -19,7 +19,7 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p1_members(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates.near_duplicate_classes(table(spark, sf_dir, "stg_projects"))[0]
+    return near_duplicates.record_classes(table(spark, sf_dir, "stg_projects"))
 
 
 def p1_links(spark: SparkSession, sf_dir: str) -> DataFrame:
